@@ -145,6 +145,26 @@ def _(t):
     )
 
 
+@query("decode_trim", "nr:i texto:s", "select event_id as nr, 'ação ' || props as texto from events")
+def _(t):
+    stored = F.encode(F.concat(F.lit(" ação "), F.col("props"), F.lit("  ")), "ISO-8859-1")
+    return t.raw("events").select(F.col("event_id").alias("nr"), cln.decode_trim(stored).alias("texto"))
+
+
+@query(
+    "safe_int",
+    "nr:i n:i",
+    """select event_id as nr, case event_type when 'view' then null when 'click' then null else user_id end as n
+       from events""",
+)
+def _(t):
+    kind, number = F.col("event_type"), text("user_id")
+    written = F.when(kind == "view", F.concat(number, F.lit(".5"))).when(kind == "click", F.concat(F.lit("n"), number)).otherwise(
+        F.concat(F.lit(" "), number)
+    )
+    return t.raw("events").select(F.col("event_id").alias("nr"), cln.safe_int(written).alias("n"))
+
+
 @query(
     "zero_code_to_null",
     "cod_cliente:s canal:s dono:s",

@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import FAILED, RUNNING
+from .. import schemas
 from ..functions.periods import Day, as_day
+from ..schemas import FAILED, RUNNING
 
 RUNS_SHOWN = 30
 FAILURES_SHOWN = 20
@@ -49,10 +50,11 @@ def recent_failures(log: DataFrame, size: int = FAILURES_SHOWN) -> DataFrame:
 
 
 def _volume(df: DataFrame, name: str, date_column: str | None) -> DataFrame:
-    latest = F.max(date_column).cast("string") if date_column else F.max(F.lit(None).cast("string"))
-    return df.agg(F.count(F.lit(1)).alias("linhas"), latest.alias("ate")).select(
-        F.lit(name).alias("tabela"), "linhas", "ate"
-    )
+    counted = [F.count(F.lit(1)).alias("linhas")]
+    if date_column:
+        counted.append(F.max(date_column).alias("ultima"))
+    latest = F.col("ultima") if date_column else F.lit(None)
+    return df.agg(*counted).select(F.lit(name).alias("tabela"), "linhas", latest.cast("string").alias("ate"))
 
 
 def mart_volume(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
@@ -97,6 +99,33 @@ class Contract:
         return rules
 
 
+# The rules of each table, to be checked after a load.
+CONTRACTS = {
+    "type_map": Contract(
+        ("empresa", "nat_operacao"),
+        ("empresa", "nat_operacao", "tipo"),
+        {"tipo": (schemas.SALE, schemas.RETURN, schemas.BONUS, schemas.IGNORE)},
+    ),
+    "sales": Contract(
+        tuple(schemas.KEYS["sales"]),
+        ("empresa", "nr_nota", "cod_cliente", "qt_caixas", "valor", "tipo", "data_emissao", "carregado_em"),
+        {"tipo": (schemas.SALE, schemas.RETURN, schemas.BONUS)},
+        ("valor",),
+    ),
+    "orders": Contract(
+        tuple(schemas.KEYS["orders"]),
+        ("empresa", "nr_pedido", "it_codigo", "cod_cliente", "carregado_em"),
+        {"tipo": (schemas.SALE, schemas.RETURN), "status_grupo": (schemas.OPEN, schemas.INVOICED, schemas.CUT)},
+        ("valor",),
+    ),
+    "customers": Contract(tuple(schemas.KEYS["customers"]), ("empresa", "cod_cliente")),
+    "sellers": Contract(tuple(schemas.KEYS["sellers"]), ("empresa", "cod_vendedor")),
+    "products": Contract(tuple(schemas.KEYS["products"]), ("empresa", "it_codigo")),
+    "users": Contract(tuple(schemas.KEYS["users"]), ("cod_vendedor",), {"role": tuple(schemas.ROLES)}),
+    "visits": Contract(tuple(schemas.KEYS["visits"]), ("id",), {"status_visita": tuple(schemas.VISIT_STATUSES)}),
+}
+
+
 def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
     """Violations per rule: (regra, violacoes). Row rules take one pass."""
     rules = contract.row_rules()

@@ -65,17 +65,21 @@ def sales_summary(
     )
 
 
-def sales_ratios(summary: DataFrame) -> DataFrame:
-    """Averages over a summary; 0 where there is nothing to divide by."""
+def ratio_columns():
+    """Averages over the columns of a summary; 0 where there is nothing to divide by."""
     orders = F.col("pedidos")
-    return summary.select(
+    revenue = F.col("faturamento_total")
+    paid_boxes = F.col("caixas_total") - F.col("caixas_bonificadas")
+    return [
         ratio(F.col("linhas_pedido"), orders, 1).alias("media_skus_pedido"),
-        ratio(F.col("faturamento_total"), orders, 2).alias("ticket_medio"),
-        ratio(
-            F.col("faturamento_total"), F.col("caixas_total") - F.col("caixas_bonificadas"), 2
-        ).alias("preco_medio_caixa"),
+        ratio(revenue, orders, 2).alias("ticket_medio"),
+        ratio(revenue, paid_boxes, 2).alias("preco_medio_caixa"),
         ratio(F.col("caixas_total"), orders, 1).alias("drop_size"),
-    )
+    ]
+
+
+def sales_ratios(summary: DataFrame) -> DataFrame:
+    return summary.select(*ratio_columns())
 
 
 def previous_period(

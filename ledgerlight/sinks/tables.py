@@ -136,11 +136,23 @@ def replace_window(df: DataFrame, path: str, company: str, date_column: str, cut
     if version is None:
         _write_version(rows, folder, [date_column])
         return
-    # The window is written once, complete, and then exchanged from that copy.
+    staged = _stage(rows, folder, date_column)
+    stored = spark.read.schema(rows.schema).parquet(version)
+    gone = _days(stored, date_column, since) - _days(staged, date_column, since)
+    _exchange_days(staged, version, date_column)
+    nothing = rows.drop(date_column).limit(0)
+    for day in sorted(gone):
+        nothing.write.mode("overwrite").parquet(f"{version}/{date_column}={day.isoformat()}")
+
+
+def _stage(rows: DataFrame, folder: str, date_column: str) -> DataFrame:
+    """Rows written out once, complete, before any stored day is exchanged."""
     stage = f"{folder}/{_STAGE}"
     _balanced(rows, [date_column]).write.mode("overwrite").partitionBy(date_column).parquet(stage)
-    staged = spark.read.schema(rows.schema).parquet(stage)
-    stored = spark.read.schema(rows.schema).parquet(version)
+    return rows.sparkSession.read.schema(rows.schema).parquet(stage)
+
+
+def _exchange_days(staged: DataFrame, version: str, date_column: str) -> None:
     (
         _balanced(staged, [date_column])
         .write.mode("overwrite")
@@ -148,9 +160,6 @@ def replace_window(df: DataFrame, path: str, company: str, date_column: str, cut
         .partitionBy(date_column)
         .parquet(version)
     )
-    nothing = rows.drop(date_column).limit(0)
-    for day in sorted(_days(stored, date_column, since) - _days(staged, date_column, since)):
-        nothing.write.mode("overwrite").parquet(f"{version}/{date_column}={day.isoformat()}")
 
 
 def _days(df: DataFrame, date_column: str, since: Column) -> set:
@@ -158,6 +167,24 @@ def _days(df: DataFrame, date_column: str, since: Column) -> set:
     return {r[0] for r in df.filter(F.col(date_column) >= since).select(date_column).distinct().collect()}
 
 
+def upsert_days(df: DataFrame, path: str, key: Sequence[str], date_column: str) -> None:
+    """Upsert into a table partitioned by day, rewriting only the days that ``df`` touches.
+
+    For events, whose day is part of what they are: a key stays on its day.
+    """
+    spark = df.sparkSession
+    version = _current(spark, path)
+    if version is None:
+        _write_version(latest_per_key(df, key), path, [date_column])
+        return
+    stored = spark.read.schema(df.schema).parquet(version)
+    touched = df.select(date_column).distinct()
+    # Days only, so the list is short and prunes the stored partitions.
+    days = [r[0] for r in touched.collect()]
+    merged = upsert(stored.filter(F.col(date_column).isin(days)), df, key)
+    _exchange_days(_stage(merged, path, date_column), version, date_column)
+
+
 def drop_old_versions(spark: SparkSession, path: str, company: str | None = None, keep: int = 2) -> None:
     """Delete all but the newest ``keep`` complete versions of a table."""
     folder = _company_folder(path, company)
