@@ -378,7 +378,7 @@ def _(t):
 
 @query("build_products", "empresa:s it_codigo:s descricao:s familia:s", "select 'c1' as empresa, * from products")
 def _(t):
-    return t.products
+    return t.build_products()
 
 
 @query(
@@ -387,7 +387,7 @@ def _(t):
     "select * from customers",
 )
 def _(t):
-    return t.customers
+    return t.build_customers()
 
 
 @query(
@@ -396,7 +396,7 @@ def _(t):
     "select * from sellers",
 )
 def _(t):
-    return t.sellers
+    return t.build_sellers()
 
 
 @query("build_sales", _SALES_COLUMNS + " carregado_em:s",
@@ -1086,7 +1086,7 @@ def _halves(t):
     return old, new
 
 
-_KEY = ["empresa", "cod_cliente"]
+_KEY = ["cod_cliente", "empresa"]
 _HALF_COLUMNS = "cod_cliente:s nome:s canal:s limite_credito:d"
 
 

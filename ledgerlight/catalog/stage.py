@@ -1,10 +1,10 @@
 """Where derived tables are kept while an application runs.
 
-The sales and order marts are read by nearly every indicator, so they are
-written once, partitioned by month, to the shared folder that the session names
-in ``spark.checkpoint.dir``. A written table needs no lineage: a lost executor
+The marts are read by nearly every indicator, so they are written once, the
+facts partitioned by month, to the shared folder that the session names in
+``spark.checkpoint.dir``. A written table needs no lineage: a lost executor
 costs nothing but its own tasks. On a cluster without that setting nothing is
-written and every query computes its mart in its own plan.
+written and every query computes its marts in its own plan.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.filters import MONTH_PARTITION
 
@@ -36,23 +37,27 @@ def shared_folder(spark: SparkSession) -> str | None:
 _staged: dict[tuple[str, str, str], str] = {}
 
 
-def staged(spark: SparkSession, source: str, name: str, df: DataFrame, date_column: str) -> DataFrame:
-    """``df`` written by month and read back; written once per application and source."""
+def staged(spark: SparkSession, source: str, name: str, df: DataFrame, date_column: str | None = None) -> DataFrame:
+    """``df`` written and read back, by month of a date; once per application and source.
+
+    Being plain files, the tables have true sizes: Spark broadcasts a dimension in
+    a join when its files are small and shuffles it when they are not.
+    """
     folder = shared_folder(spark)
     if folder is None:
         return df
     key = (spark.sparkContext.applicationId, source, name)
+    schema = df.schema
+    if date_column:
+        schema = StructType([*schema.fields, StructField(MONTH_PARTITION, StringType())])
     if key not in _staged:
         digest = hashlib.sha256(source.encode()).hexdigest()[:12]
         path = f"{folder}/{digest}/{name}"
-        month = F.date_format(date_column, "yyyy-MM").alias(MONTH_PARTITION)
-        rows = df.select("*", month)
-        (
-            rows.hint("rebalance", F.col(MONTH_PARTITION))
-            .write.mode("overwrite")
-            .partitionBy(MONTH_PARTITION)
-            .parquet(path)
-        )
+        if date_column:
+            rows = df.select("*", F.date_format(date_column, "yyyy-MM").alias(MONTH_PARTITION))
+            writer = rows.hint("rebalance", F.col(MONTH_PARTITION)).write.partitionBy(MONTH_PARTITION)
+        else:
+            writer = df.write
+        writer.mode("overwrite").parquet(path)
         _staged[key] = path
-    schema = df.schema.add(MONTH_PARTITION, "string")
     return spark.read.schema(schema).parquet(_staged[key])

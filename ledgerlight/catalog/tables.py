@@ -174,9 +174,12 @@ class Tables:
             F.when(kind == "PROMO", "  ").otherwise(F.concat(F.lit("FAM "), kind)).alias("descricao"),
         )
 
+    def build_products(self) -> DataFrame:
+        return marts.build_products(self.items, self.families)
+
     @cached_property
     def products(self) -> DataFrame:
-        return marts.build_products(self.items, self.families)
+        return staged(self.spark, self.folder, "products", self.build_products())
 
     @cached_property
     def parties(self) -> DataFrame:
@@ -208,9 +211,12 @@ class Tables:
         )
         return customers.unionByName(suppliers, allowMissingColumns=True)
 
+    def build_customers(self) -> DataFrame:
+        return marts.build_customers(self.parties)
+
     @cached_property
     def customers(self) -> DataFrame:
-        return marts.build_customers(self.parties)
+        return staged(self.spark, self.folder, "customers", self.build_customers())
 
     @cached_property
     def reps(self) -> DataFrame:
@@ -228,9 +234,12 @@ class Tables:
             F.lit(1).alias("ind_situacao"),
         )
 
+    def build_sellers(self) -> DataFrame:
+        return marts.build_sellers(self.reps)
+
     @cached_property
     def sellers(self) -> DataFrame:
-        return marts.build_sellers(self.reps)
+        return staged(self.spark, self.folder, "sellers", self.build_sellers())
 
     @cached_property
     def seller_map(self) -> DataFrame:

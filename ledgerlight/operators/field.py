@@ -159,7 +159,7 @@ def apply_customer_changes(
         F.max_by(F.nullif("cod_vendedor", F.lit("")), F.when(_filled("cod_vendedor"), F.col("ordem"))).alias("novo_dono"),
     )
     keyed = latest.withColumn("empresa", F.lit(company))
-    updated = customers.join(keyed, ["empresa", "cod_cliente"], "left").select(
+    updated = customers.join(keyed, ["cod_cliente", "empresa"], "left").select(
         *(
             F.coalesce({"canal": "novo_canal", "limite_credito": "novo_limite", "cod_vendedor": "novo_dono"}[c], c).alias(c)
             if c in ("canal", "limite_credito", "cod_vendedor")

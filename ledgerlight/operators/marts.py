@@ -3,6 +3,8 @@
 Facts are grouped to their natural key before any dimension is joined: the
 grouping combines on the map side, so a key that holds a large part of the rows
 is reduced where it lies, and every later join sees one row per key.
+Grouping and join keys start with the column of most values: sorts compare the
+first key by a prefix, which is useless on a column that hardly varies.
 Dimension joins carry no hint. Spark broadcasts a dimension when its measured
 size allows it and otherwise shuffles, splitting skewed partitions at run time.
 """
@@ -51,7 +53,7 @@ def movement_distribution(type_map: DataFrame) -> DataFrame:
 def build_products(items: DataFrame, families: DataFrame) -> DataFrame:
     names = families.select("empresa", F.trim("fm_cod_com").alias("familia_chave"), F.col("descricao").alias("familia_nome"))
     keyed = items.withColumn("familia_chave", F.trim("fm_cod_com"))
-    return keyed.join(names, ["empresa", "familia_chave"], "left").select(
+    return keyed.join(names, ["familia_chave", "empresa"], "left").select(
         "empresa", "it_codigo", F.col("desc_item").alias("descricao"), default_label("familia_nome").alias("familia")
     )
 
@@ -91,7 +93,7 @@ def group_invoice_lines(lines: DataFrame, since: Day = FULL_SINCE) -> DataFrame:
     """
     return (
         lines.filter(F.col("dt_cancela").isNull() & (F.col("dt_emis_nota") >= F.lit(as_day(since))))
-        .groupBy("empresa", "cod_estabel", "nr_nota_fis", "it_codigo", "cd_emitente")
+        .groupBy("nr_nota_fis", "it_codigo", "cd_emitente", "cod_estabel", "empresa")
         .agg(
             F.max("nat_operacao").alias("nat_operacao"),
             F.max("cd_vendedor").alias("cd_vendedor"),
@@ -128,12 +130,12 @@ def build_sales(
     return (
         group_invoice_lines(lines, since)
         .withColumn("rep_chave", F.coalesce("cd_vendedor", F.lit("")))
-        .join(kinds, ["empresa", "nat_operacao"], "left")
+        .join(kinds, ["nat_operacao", "empresa"], "left")
         .withColumn("tipo", F.coalesce("tipo_mapeado", F.lit(SALE)))
         .filter(F.col("tipo") != IGNORE)
-        .join(mapped, ["empresa", "rep_chave"], "left")
-        .join(owners, ["empresa", "cd_emitente"], "left")
-        .join(families, ["empresa", "it_codigo"], "left")
+        .join(mapped, ["rep_chave", "empresa"], "left")
+        .join(owners, ["cd_emitente", "empresa"], "left")
+        .join(families, ["it_codigo", "empresa"], "left")
         .select(
             "empresa",
             F.col("cod_estabel").alias("estabel"),
@@ -161,7 +163,7 @@ def unmapped_operations(lines: DataFrame, type_map: DataFrame, since: Day = FULL
     )
     known = type_map.select("empresa", "nat_operacao")
     return (
-        counted.join(known, ["empresa", "nat_operacao"], "left_anti")
+        counted.join(known, ["nat_operacao", "empresa"], "left_anti")
         .orderBy(F.desc("qtd"), F.asc_nulls_last("empresa"), F.asc_nulls_last("nat_operacao"))
         .limit(top)
     )

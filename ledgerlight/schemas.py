@@ -158,15 +158,16 @@ CAMPAIGNS = _struct(
     "parametros string, ativa boolean"
 )
 
-# Natural keys. The sales key carries the establishment: two establishments may
-# use the same invoice number.
+# Natural keys, the column of most values first (see operators/marts.py). The
+# sales key carries the establishment: two establishments may use the same
+# invoice number.
 KEYS = {
-    "sales": ["empresa", "estabel", "nr_nota", "it_codigo", "cod_cliente"],
-    "orders": ["empresa", "nr_pedido", "it_codigo", "cod_cliente"],
-    "customers": ["empresa", "cod_cliente"],
-    "sellers": ["empresa", "cod_vendedor"],
-    "products": ["empresa", "it_codigo"],
-    "type_map": ["empresa", "nat_operacao"],
+    "sales": ["nr_nota", "it_codigo", "cod_cliente", "estabel", "empresa"],
+    "orders": ["nr_pedido", "it_codigo", "cod_cliente", "empresa"],
+    "customers": ["cod_cliente", "empresa"],
+    "sellers": ["cod_vendedor", "empresa"],
+    "products": ["it_codigo", "empresa"],
+    "type_map": ["nat_operacao", "empresa"],
     "users": ["cod_vendedor"],
     "goals": ["cod_vendedor", "mes"],
     "visits": ["id"],
