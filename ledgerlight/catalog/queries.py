@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as cln
 from ..operators import field, filters, indicators, marts, monitoring, orders, portfolio, sales, scans
 from ..sinks import tables as sinks
-from ..sources.database import read_window
+from ..sources.database import high_water_mark, read_window
 from ..sources.exports import history_cutoff
 from .registry import query
 from .tables import AS_OF, COMPANY, END, SELLER, START, text
@@ -35,6 +35,16 @@ def _(t):
     return read_window(t.sales, "data_emissao", AS_OF, 7)
 
 
+@query(
+    "high_water_mark",
+    "ult_valor:s",
+    "select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as ult_valor from events",
+)
+def _(t):
+    latest = high_water_mark(t.raw("events"), "ts")
+    return latest.select(F.date_format("ult_valor", "yyyy-MM-dd HH:mm:ss").alias("ult_valor"))
+
+
 # ----------------------------------------------------------------- cleaning
 
 _NUMBER_SQL = """

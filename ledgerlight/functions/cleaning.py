@@ -38,8 +38,8 @@ def blank_to_null(c: Column | str) -> Column:
 
 def _plain_number(c: Column | str) -> Column:
     text = blank_to_null(c)
-    no_thousands = F.when(F.contains(text, F.lit(",")), F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
-    return F.replace(no_thousands, F.lit(","), F.lit("."))
+    # With a comma, the comma becomes the point and the points go.
+    return F.when(F.contains(text, F.lit(",")), F.translate(text, ",.", ".")).otherwise(text)
 
 
 def parse_decimal_br(c: Column | str) -> Column:

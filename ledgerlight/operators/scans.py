@@ -9,7 +9,7 @@ from ..functions.cleaning import line_value
 from ..functions.periods import Day
 from .filters import OrderScope, in_period, order_scope_filter
 
-INVOICE_KEY = ["cod_estabel", "serie", "nr_nota_fis"]
+INVOICE_KEY = ["nr_nota_fis", "serie", "cod_estabel"]
 
 
 def invoice_line_scan(headers: DataFrame, lines: DataFrame, start: Day | None = None, end: Day | None = None) -> DataFrame:
@@ -33,7 +33,7 @@ def order_item_scan(
     """Order items with their order's date, rep and state and the item's texts."""
     dated = in_period(orders, "dt_venda", start, end)
     texts = items.select("it_codigo", "descricao_1", "descricao_2")
-    joined = order_items.join(dated, ["nome_abrev", "nr_pedcli"]).withColumn(
+    joined = order_items.join(dated, ["nr_pedcli", "nome_abrev"]).withColumn(
         "valor_total_venda", line_value("qt_pedida", "preco_venda")
     )
     # Filter before the outer join: it only adds texts.

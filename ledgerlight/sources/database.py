@@ -302,3 +302,8 @@ def read_window(df: DataFrame, column: str, as_of: Day, days: int = WINDOW_DAYS)
     """Rows of the last ``days`` days, with no upper end."""
     first, _ = last_days(as_of, days)
     return df.filter(F.col(column) >= F.lit(first))
+
+
+def high_water_mark(df: DataFrame, column: str) -> DataFrame:
+    """Latest date or time already loaded, one row: where an incremental read may start."""
+    return df.agg(F.max(column).alias("ult_valor"))
