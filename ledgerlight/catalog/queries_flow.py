@@ -179,7 +179,7 @@ def _dated_visits(t):
 def _(t):
     path = _new_folder(t, "replace_window")
     rows = _dated_visits(t)
-    sinks.replace_company(rows.filter(F.col("status_visita") != "fechado"), path, COMPANY, ["dia"])
+    sinks.replace_fact(rows.filter(F.col("status_visita") != "fechado"), path, COMPANY, "dia")
     corrected = rows.filter((F.col("status_visita") != "ausente") & (F.col("dia") != F.lit("1998-01-25").cast("date")))
     # One day of the window is gone from the source; the load is run twice.
     sinks.replace_window(corrected, path, COMPANY, "dia", "1998-01-20")
@@ -270,19 +270,19 @@ def _(t):
     return read_seed_types(t.spark, path)
 
 
-HISTORY = "2001-01-01"
+HISTORY = "1990-01-01"
 _REFRESHED = "nr_nota:s cod_cliente:s cod_vendedor:s it_codigo:s qt_caixas:d valor:d tipo:s familia:s data_emissao:s"
 
 
 @query(
     "refresh_from_exports",
     _REFRESHED,
-    f"""select l.nr as nr_nota, l.cliente as cod_cliente, max(l.rep) as cod_vendedor, l.item as it_codigo,
+    """select l.nr as nr_nota, l.cliente as cod_cliente, max(l.rep) as cod_vendedor, l.item as it_codigo,
                cast(sum(l.qt) as decimal(12,2)) as qt_caixas,
                cast(abs(round(sum(case when l.operacao = 'R' then -l.liquido else l.liquido end), 2)) as decimal(14,2)) as valor,
                case when sum(case when l.operacao = 'R' then -l.liquido else l.liquido end) < 0 then 'devolucao' else 'venda' end as tipo,
                max(p.familia) as familia, max(l.emissao) as data_emissao
-        from order_lines l join products p on p.it_codigo = l.item where l.emissao >= date '{HISTORY}'
+        from order_lines l join products p on p.it_codigo = l.item
         group by l.nr, l.item, l.cliente""",
 )
 def _(t):
@@ -303,36 +303,36 @@ def _(t):
 @query(
     "refresh_full_then_window",
     "tipo:s linhas:i valor:d qt_caixas:d ate:s",
+    # Rows of the first load dated before the window, and the window's lines grouped anew.
     """select t.tipo, count(*) as linhas, sum(cast(abs(round(g.liquido, 2)) as decimal(14,2))) as valor,
               sum(g.qt) as qt_caixas, max(g.emissao) as ate
-       from (select estabel, nr, item, cliente, max(operacao) as operacao, sum(qt) as qt, sum(liquido) as liquido,
-                    max(emissao) as emissao
-             from order_lines where emissao >= date '2001-01-01'
-               and not (emissao >= date '2001-10-28' and o_orderstatus = 'P' and o_orderpriority = '5-LOW') group by all) g
+       from (select nr, item, cliente, estabel, max(operacao) as operacao, sum(qt) as qt, sum(liquido) as liquido,
+                    max(emissao) as emissao from order_lines group by all having max(emissao) < date '2001-10-28'
+             union all
+             select nr, item, cliente, estabel, max(operacao), sum(qt), sum(liquido), max(emissao) from order_lines
+             where emissao >= date '2001-10-28' and not (o_orderstatus = 'P' and o_orderpriority = '5-LOW') group by all) g
        join type_map t on t.nat_operacao = g.operacao group by 1""",
 )
 def _(t):
     lake = Lake(_new_folder(t, "refresh_full"))
-    history = "2001-01-01"
     late = {
         "operations": t.operations, "families": t.families, "items": t.items, "parties": t.parties, "reps": t.reps,
         "registrations": t.registered.select(F.lit(COMPANY).alias("empresa"), F.col("cod_vendedor").alias("cod_rep")),
-        "orders": t.scan_orders.withColumn("empresa", F.lit(COMPANY)).filter(F.col("dt_venda") >= history),
+        "orders": t.scan_orders.withColumn("empresa", F.lit(COMPANY)),
         "invoice_lines": t.cancellable_lines,
     }
 
     def first_load(entity, span):
-        """All lines of the history, none of them cancelled yet."""
+        """All lines, none of them cancelled yet."""
         if entity != "invoice_lines":
             return late[entity]
-        kept = late[entity].filter(F.col("dt_emis_nota") >= history)
-        return kept.withColumn("dt_cancela", F.lit(None).cast("date"))
+        return late[entity].withColumn("dt_cancela", F.lit(None).cast("date"))
 
     def later_load(entity, span):
         """The window again, now with cancellations."""
         return late[entity] if span is None else late[entity].filter(F.col(_DATES[entity]) >= F.lit(span[0]))
 
-    refresh_full(t.spark, lake, first_load, COMPANY)
+    refresh_full(t.spark, lake, first_load, COMPANY, cutoff=HISTORY)
     refresh_window(t.spark, lake, later_load, COMPANY, "2001-11-04", 7)
     sales = sinks.read_table(t.spark, lake.mart("sales"), COMPANY)
     return sales.groupBy("tipo").agg(

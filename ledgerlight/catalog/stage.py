@@ -16,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.filters import MONTH_PARTITION
+from ..schemas import MONTH_PARTITION
+from ..sinks.tables import with_month
 
 _local_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder for derived tables, ``None`` when the cluster names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     app = spark.sparkContext.applicationId
     if named:
         return f"{named.rstrip('/')}/ledgerlight/{app}"
@@ -54,8 +55,7 @@ def staged(spark: SparkSession, source: str, name: str, df: DataFrame, date_colu
         digest = hashlib.sha256(source.encode()).hexdigest()[:12]
         path = f"{folder}/{digest}/{name}"
         if date_column:
-            rows = df.select("*", F.date_format(date_column, "yyyy-MM").alias(MONTH_PARTITION))
-            writer = rows.hint("rebalance", F.col(MONTH_PARTITION)).write.partitionBy(MONTH_PARTITION)
+            writer = with_month(df, date_column).hint("rebalance", F.col(MONTH_PARTITION)).write.partitionBy(MONTH_PARTITION)
         else:
             writer = df.write
         writer.mode("overwrite").parquet(path)

@@ -197,7 +197,7 @@ class Tables:
             text("n_regionkey").alias("estado"),
             F.concat(F.lit(" "), owner).alias("cod_rep"),
             F.when(F.col("c_mktsegment") == "FURNITURE", "0").otherwise(F.col("c_mktsegment")).alias("cod_canal_venda"),
-            F.greatest(balance, F.lit(0).cast("decimal(16,2)")).alias("lim_credito"),
+            F.abs(balance).alias("lim_credito"),
             F.when(balance < 0, 4).otherwise(1).alias("ind_cre_cli"),
             F.lit(1).alias("ind_sit_emitente"),
             F.lit(None).cast("date").alias("dt_ult_venda"),

@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import local_day
 from ..functions.periods import Day, as_day, month_key
-from ..schemas import MANAGER
-
-# Month partition a fact table may carry next to its date column.
-MONTH_PARTITION = "mes_particao"
+from ..schemas import MANAGER, MONTH_PARTITION
 
 
 def in_period(df: DataFrame, column: str, start: Day | None = None, end: Day | None = None) -> DataFrame:

@@ -79,9 +79,9 @@ def stored_rows(
     schema: StructType | None = None,
     since: tuple[str, Day] | None = None,
 ) -> int:
-    """Rows a load left in a table: file footers only, of the days it wrote.
+    """Rows a load left in a table, of the months it wrote.
 
-    Tables partitioned by day are read with their schema; an empty one has no files.
+    Facts are read with their schema; an empty one has no files.
     """
     stored = tables.read_table(spark, path, company, schema)
     return (in_period(stored, *since) if since else stored).count()
@@ -100,7 +100,7 @@ def load_fact(
     path = lake.raw(entity)
     with logged(spark, lake, f"extract:{entity}") as step:
         if cutoff is None:
-            tables.replace_company(rows, path, company, [date_column])
+            tables.replace_fact(rows, path, company, date_column)
         else:
             tables.replace_window(rows, path, company, date_column, cutoff)
         step.rows = stored_rows(spark, path, company, rows.schema, (date_column, cutoff) if cutoff else None)
@@ -142,11 +142,11 @@ def build_export_marts(spark: SparkSession, lake: Lake, company: str) -> None:
     customers = tables.read_table(spark, lake.mart("customers"))
     with logged(spark, lake, "mart:sales") as step:
         sales = marts.sales_from_export(raw["invoice_lines"], products, company)
-        tables.replace_company(sales, lake.mart("sales"), company, ["data_emissao"])
+        tables.replace_fact(sales, lake.mart("sales"), company, "data_emissao")
         step.rows = stored_rows(spark, lake.mart("sales"), company, schemas.SALES)
     with logged(spark, lake, "mart:orders") as step:
         orders = marts.orders_from_export(raw["order_items"], customers, products, company)
-        tables.replace_company(orders, lake.mart("orders"), company, ["data_pedido"])
+        tables.replace_fact(orders, lake.mart("orders"), company, "data_pedido")
         step.rows = stored_rows(spark, lake.mart("orders"), company, schemas.ORDERS)
 
 
@@ -236,7 +236,7 @@ def rebuild_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day, wh
         )
         path = lake.mart("sales")
         if whole:
-            tables.replace_company(sales, path, company, ["data_emissao"])
+            tables.replace_fact(sales, path, company, "data_emissao")
         else:
             tables.replace_window(sales, path, company, "data_emissao", cutoff)
         step.rows = stored_rows(spark, path, company, schemas.SALES, ("data_emissao", cutoff))

@@ -42,6 +42,9 @@ FIELD_APP_ORIGIN = "crm"
 
 LOCAL_ZONE = "America/Sao_Paulo"
 
+# Month of a fact's date, ``yyyy-MM``: the column stored facts are partitioned by.
+MONTH_PARTITION = "mes_particao"
+
 
 _TYPES = {
     "string": T.StringType(),

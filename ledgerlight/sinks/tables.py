@@ -4,8 +4,8 @@ A table lives under one folder, with one sub-folder per company where the table
 has companies. Each full load writes a new version next to the old one and
 readers take the newest version that Spark marked complete (``_SUCCESS``): a
 job that dies half-way leaves the table as it was, and no plan ever overwrites
-the files it reads. Only the moving window works inside a version: there whole
-day partitions are exchanged.
+the files it reads. Facts are partitioned by month. Only the moving window works
+inside a version: there whole months are exchanged from a complete staged copy.
 """
 
 from __future__ import annotations
@@ -13,15 +13,17 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.periods import Day, as_day
+from ..functions.periods import Day, as_day, month_key
+from ..schemas import MONTH_PARTITION
 
 _VERSION = re.compile(r"^v(\d{8})$")
 _COMPANY = re.compile(r"^empresa=(.+)$")
-_STAGE = "window_stage"
+_STAGES = "window_stages"
+_DAY_STAGE = "day_stage"
 _SAFE_CODE = re.compile(r"^[A-Za-z0-9_-]+$")
 
 
@@ -67,13 +69,13 @@ def read_table(
 ) -> DataFrame:
     """Current state of a table, of one company or of all.
 
-    Give the ``schema`` of partitioned tables: a version without any row has no
-    file to take it from.
+    Give the ``schema`` of facts: a version without any row has no file to take it
+    from. Facts come with the month they are partitioned by.
     """
     reader = spark.read
     if schema is not None:
         stored = [f for f in schema.fields if f.name != "empresa"] if _has_companies(spark, path) else schema.fields
-        reader = reader.schema(T.StructType(stored))
+        reader = reader.schema(T.StructType([*stored, T.StructField(MONTH_PARTITION, T.StringType())]))
     companies = [m.group(1) for m in map(_COMPANY.match, _children(spark, path)) if m]
     if company is not None:
         companies = [c for c in companies if c == company]
@@ -121,56 +123,94 @@ def replace_company(df: DataFrame, path: str, company: str, partition_by: Sequen
     _write_version(rows, _company_folder(path, company), partition_by)
 
 
+def with_month(df: DataFrame, date_column: str) -> DataFrame:
+    """The fact with the month it is partitioned by."""
+    return df.withColumn(MONTH_PARTITION, F.date_format(date_column, "yyyy-MM"))
+
+
+def replace_fact(df: DataFrame, path: str, company: str, date_column: str) -> None:
+    """All rows of a company in a fact become those in ``df``."""
+    replace_company(with_month(df, date_column), path, company, [MONTH_PARTITION])
+
+
 def replace_window(df: DataFrame, path: str, company: str, date_column: str, cutoff: Day) -> None:
-    """All rows dated ``cutoff`` or later become those in ``df``.
+    """All rows of a fact dated ``cutoff`` or later become those in ``df``.
 
-    The table is partitioned by ``date_column``, so a day is exchanged as a whole
-    and older days are never touched. Days of the window that the source no longer
-    has are emptied. Running it again gives the same table.
+    The months from the cutoff on are staged completely, the older rows of the
+    first month included, and then exchanged; earlier months are never touched
+    and months that the source no longer has are emptied. A stage that a failed
+    run left behind is exchanged first, so nothing is lost and running the load
+    again gives the same table.
     """
     spark = df.sparkSession
     folder = _company_folder(path, company)
     version = _current(spark, folder)
-    since = F.lit(as_day(cutoff))
-    rows = df.filter((F.col("empresa") == company) & (F.col(date_column) >= since)).drop("empresa")
+    since = as_day(cutoff)
+    rows = df.filter((F.col("empresa") == company) & (F.col(date_column) >= F.lit(since))).drop("empresa")
+    rows = with_month(rows, date_column)
     if version is None:
-        _write_version(rows, folder, [date_column])
+        _write_version(rows, folder, [MONTH_PARTITION])
         return
-    staged = _stage(rows, folder, date_column)
+    _finish_windows(spark, folder, version, rows.schema)
     stored = spark.read.schema(rows.schema).parquet(version)
-    gone = _days(stored, date_column, since) - _days(staged, date_column, since)
-    _exchange_days(staged, version, date_column)
-    nothing = rows.drop(date_column).limit(0)
-    for day in sorted(gone):
-        nothing.write.mode("overwrite").parquet(f"{version}/{date_column}={day.isoformat()}")
+    in_first_month = F.col(MONTH_PARTITION) == month_key(since)
+    kept = stored.filter(in_first_month & (F.col(date_column) < F.lit(since)))
+    _stage(kept.unionByName(rows), f"{folder}/{_STAGES}/{_name(version)}_{since.isoformat()}", MONTH_PARTITION)
+    _finish_windows(spark, folder, version, rows.schema)
+
+
+def _finish_windows(spark: SparkSession, folder: str, version: str, schema: T.StructType) -> None:
+    """Exchange every complete stage of this version, then drop it; others are dropped."""
+    for name in sorted(_children(spark, f"{folder}/{_STAGES}")):
+        stage = f"{folder}/{_STAGES}/{name}"
+        of_version, cutoff = name.split("_")
+        if of_version == _name(version) and "_SUCCESS" in _children(spark, stage):
+            staged = spark.read.schema(schema).parquet(stage)
+            stored = spark.read.schema(schema).parquet(version)
+            gone = _months(stored, cutoff) - _months(staged, cutoff)
+            _exchange(staged, version, MONTH_PARTITION)
+            nothing = spark.createDataFrame([], schema).drop(MONTH_PARTITION)
+            for month in sorted(gone):
+                nothing.write.mode("overwrite").parquet(f"{version}/{MONTH_PARTITION}={month}")
+        _delete(spark, stage)
 
 
-def _stage(rows: DataFrame, folder: str, date_column: str) -> DataFrame:
-    """Rows written out once, complete, before any stored day is exchanged."""
-    stage = f"{folder}/{_STAGE}"
-    _balanced(rows, [date_column]).write.mode("overwrite").partitionBy(date_column).parquet(stage)
+def _name(folder: str) -> str:
+    return folder.rsplit("/", 1)[-1]
+
+
+def _months(df: DataFrame, cutoff: str) -> set[str]:
+    """Months present from the cutoff's on: partition values, one per month."""
+    month = F.col(MONTH_PARTITION)
+    return {r[0] for r in df.filter(month >= month_key(cutoff)).select(month).distinct().collect()}
+
+
+def _stage(rows: DataFrame, stage: str, partition: str) -> DataFrame:
+    """Rows written out once, complete, before anything stored is exchanged."""
+    _balanced(rows, [partition]).write.mode("overwrite").partitionBy(partition).parquet(stage)
     return rows.sparkSession.read.schema(rows.schema).parquet(stage)
 
 
-def _exchange_days(staged: DataFrame, version: str, date_column: str) -> None:
+def _exchange(staged: DataFrame, version: str, partition: str) -> None:
     (
-        _balanced(staged, [date_column])
+        _balanced(staged, [partition])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_column)
+        .partitionBy(partition)
         .parquet(version)
     )
 
 
-def _days(df: DataFrame, date_column: str, since: Column) -> set:
-    """Days present from ``since`` on: partition values, at most one per day."""
-    return {r[0] for r in df.filter(F.col(date_column) >= since).select(date_column).distinct().collect()}
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def upsert_days(df: DataFrame, path: str, key: Sequence[str], date_column: str) -> None:
     """Upsert into a table partitioned by day, rewriting only the days that ``df`` touches.
 
-    For events, whose day is part of what they are: a key stays on its day.
+    For events, whose day is part of what they are: a key stays on its day. The
+    touched days come from a stream that delivers its batch again after a failure.
     """
     spark = df.sparkSession
     version = _current(spark, path)
@@ -182,17 +222,15 @@ def upsert_days(df: DataFrame, path: str, key: Sequence[str], date_column: str)
     # Days only, so the list is short and prunes the stored partitions.
     days = [r[0] for r in touched.collect()]
     merged = upsert(stored.filter(F.col(date_column).isin(days)), df, key)
-    _exchange_days(_stage(merged, path, date_column), version, date_column)
+    _exchange(_stage(merged, f"{path}/{_DAY_STAGE}", date_column), version, date_column)
 
 
 def drop_old_versions(spark: SparkSession, path: str, company: str | None = None, keep: int = 2) -> None:
     """Delete all but the newest ``keep`` complete versions of a table."""
     folder = _company_folder(path, company)
     done = _versions(spark, folder, complete=True)
-    jvm = spark.sparkContext._jvm
     for number in done[: max(len(done) - keep, 0)]:
-        old = jvm.org.apache.hadoop.fs.Path(f"{folder}/v{number:08d}")
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        _delete(spark, f"{folder}/v{number:08d}")
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order_by: str | None = None) -> DataFrame:

@@ -54,40 +54,92 @@ def test_replace_company_leaves_the_others(spark, folder):
         sinks.read_table(spark, path, "c3")
 
 
+def dated(spark, *data):
+    return spark.createDataFrame([("c1", k, v, dt.date(2024, m, d)) for k, v, m, d in data], SPEC)
+
+
 def test_replace_window(spark, folder):
     path = f"{folder}/t"
-    first = frame(spark, ("a", 1, 1), ("b", 1, 5), ("c", 1, 6), ("d", 1, 7))
-    sinks.replace_window(first, path, "c1", "dia", day(1))
-    # Day 6 vanished, b was corrected, a new day came; rows before the cutoff are ignored.
-    second = frame(spark, ("a", 99, 1), ("b", 2, 5), ("d", 1, 7), ("e", 1, 9))
-    expected = [("a", 1, day(1)), ("b", 2, day(5)), ("d", 1, day(7)), ("e", 1, day(9))]
+    first = dated(spark, ("a", 1, 4, 1), ("b", 1, 5, 1), ("c", 1, 5, 5), ("d", 1, 5, 6), ("e", 1, 6, 7), ("f", 1, 7, 1))
+    sinks.replace_window(first, path, "c1", "dia", "2024-01-01")
+    # d and all of June vanished, c was corrected, a new day came; rows before the cutoff are ignored.
+    second = dated(spark, ("a", 99, 4, 1), ("b", 99, 5, 1), ("c", 2, 5, 5), ("f", 1, 7, 1), ("g", 1, 8, 9))
+    expected = [("a", 1), ("b", 1), ("c", 2), ("f", 1), ("g", 1)]
     for _ in range(2):
-        sinks.replace_window(second, path, "c1", "dia", day(5))
-        assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v", "dia") == expected
+        sinks.replace_window(second, path, "c1", "dia", "2024-05-05")
+        assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == expected
     # Everything in the window vanished.
-    sinks.replace_window(second.limit(0), path, "c1", "dia", day(5))
-    assert rows(sinks.read_table(spark, path, schema=first.schema), "k") == [("a",)]
+    sinks.replace_window(second.limit(0), path, "c1", "dia", "2024-05-05")
+    assert rows(sinks.read_table(spark, path, schema=first.schema), "k") == [("a",), ("b",)]
+
+
+def test_window_that_failed_while_exchanging_is_finished_first(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    first = dated(spark, ("a", 1, 5, 1), ("b", 1, 5, 9), ("c", 1, 6, 1))
+    sinks.replace_fact(first, path, "c1", "dia")
+
+    def lose_the_month(staged, version, partition):
+        sinks._delete(spark, f"{version}/{partition}=2024-05")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_exchange", lose_the_month)
+        with pytest.raises(RuntimeError):
+            sinks.replace_window(dated(spark, ("b", 2, 5, 9)), path, "c1", "dia", "2024-05-05")
+    # The older row of the month was gone; the next load, of a later window, brings it back.
+    sinks.replace_window(dated(spark, ("d", 3, 6, 3)), path, "c1", "dia", "2024-06-02")
+    assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 2), ("d", 3)]
+
+
+def test_stage_of_an_older_version_is_ignored(spark, folder):
+    path = f"{folder}/t"
+    sinks.replace_fact(dated(spark, ("a", 1, 5, 9)), path, "c1", "dia")
+    stage = f"{path}/empresa=c1/{sinks._STAGES}/v00000001_2024-05-01"
+    sinks._stage(sinks.with_month(dated(spark, ("old", 0, 5, 9)).drop("empresa"), "dia"), stage, schemas.MONTH_PARTITION)
+    sinks.replace_fact(dated(spark, ("b", 1, 5, 9)), path, "c1", "dia")
+    sinks.replace_window(dated(spark, ("c", 1, 6, 1)), path, "c1", "dia", "2024-06-01")
+    assert rows(sinks.read_table(spark, path), "k") == [("b",), ("c",)]
+
+
+def test_window_that_failed_while_staging_leaves_the_table(spark, folder):
+    path = f"{folder}/t"
+    first = dated(spark, ("a", 1, 5, 1), ("b", 1, 5, 9))
+    sinks.replace_fact(first, path, "c1", "dia")
+    failing = first.withColumn("v", F.raise_error(F.lit("stop")).cast("int"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_window(failing, path, "c1", "dia", "2024-05-05")
+    assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 1)]
+    sinks.replace_window(dated(spark, ("b", 2, 5, 9)), path, "c1", "dia", "2024-05-05")
+    assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 2)]
 
 
 def test_window_reload_equals_full_reload(spark, folder):
-    source = frame(spark, *[(f"k{i}", i, 1 + i % 9) for i in range(40)])
-    late = source.filter("v % 7 != 0").withColumn("v", F.when(F.col("dia") >= F.lit(day(4)), F.col("v") + 100).otherwise(F.col("v")))
-    late = late.unionByName(source.filter((F.col("v") % 7 == 0) & (F.col("dia") < F.lit(day(4)))))
-    sinks.replace_company(source, f"{folder}/w", "c1", ["dia"])
-    sinks.replace_window(late, f"{folder}/w", "c1", "dia", day(4))
-    sinks.replace_company(late, f"{folder}/f", "c1", ["dia"])
+    source = dated(spark, *[(f"k{i}", i, 4 + i % 3, 1 + i % 9) for i in range(40)])
+    inside = F.col("dia") >= F.lit(dt.date(2024, 5, 4))
+    changed = source.filter(~inside | (F.col("v") % 7 != 0)).withColumn("v", F.when(inside, F.col("v") + 100).otherwise(F.col("v")))
+    sinks.replace_fact(source, f"{folder}/w", "c1", "dia")
+    sinks.replace_window(changed, f"{folder}/w", "c1", "dia", "2024-05-04")
+    sinks.replace_fact(changed, f"{folder}/f", "c1", "dia")
     assert rows(sinks.read_table(spark, f"{folder}/w"), "k", "v", "dia") == rows(sinks.read_table(spark, f"{folder}/f"), "k", "v", "dia")
 
 
-def test_empty_partitioned_table(spark, folder):
+def test_empty_fact(spark, folder):
     path = f"{folder}/t"
     empty = frame(spark, ("a", 1, 1)).limit(0)
-    sinks.replace_company(empty, path, "c1", ["dia"])
+    sinks.replace_fact(empty, path, "c1", "dia")
     assert sinks.read_table(spark, path, "c1", empty.schema).count() == 0
     sinks.replace_window(frame(spark, ("a", 1, 1)), path, "c1", "dia", day(1))
     assert sinks.read_table(spark, path, "c1", empty.schema).count() == 1
 
 
+def test_rows_without_a_date_survive_a_window(spark, folder):
+    path = f"{folder}/t"
+    first = spark.createDataFrame([("c1", "a", 1, None), ("c1", "b", 1, day(9))], SPEC)
+    sinks.replace_fact(first, path, "c1", "dia")
+    sinks.replace_window(frame(spark, ("b", 2, 9)), path, "c1", "dia", day(5))
+    assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 2)]
+
+
 def test_upserts(spark):
     target = frame(spark, ("a", 1, 1), ("b", 2, 1))
     source = frame(spark, ("b", 20, 2), ("b", 30, 1), ("c", 40, 1))
