@@ -38,8 +38,9 @@ def blank_to_null(c: Column | str) -> Column:
 
 def _plain_number(c: Column | str) -> Column:
     text = blank_to_null(c)
-    # With a comma, the comma becomes the point and the points go.
-    return F.when(F.contains(text, F.lit(",")), F.translate(text, ",.", ".")).otherwise(text)
+    grouped = F.contains(text, F.lit(","))
+    no_points = F.when(grouped, F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
+    return F.replace(no_points, F.lit(","), F.lit("."))
 
 
 def parse_decimal_br(c: Column | str) -> Column:

@@ -185,10 +185,9 @@ def _months(df: DataFrame, cutoff: str) -> set[str]:
     return {r[0] for r in df.filter(month >= month_key(cutoff)).select(month).distinct().collect()}
 
 
-def _stage(rows: DataFrame, stage: str, partition: str) -> DataFrame:
-    """Rows written out once, complete, before anything stored is exchanged."""
+def _stage(rows: DataFrame, stage: str, partition: str) -> None:
+    """Write rows out once, complete, before anything stored is exchanged."""
     _balanced(rows, [partition]).write.mode("overwrite").partitionBy(partition).parquet(stage)
-    return rows.sparkSession.read.schema(rows.schema).parquet(stage)
 
 
 def _exchange(staged: DataFrame, version: str, partition: str) -> None:
@@ -217,12 +216,21 @@ def upsert_days(df: DataFrame, path: str, key: Sequence[str], date_column: str)
     if version is None:
         _write_version(latest_per_key(df, key), path, [date_column])
         return
+    _finish_days(spark, path, version, df.schema, date_column)
     stored = spark.read.schema(df.schema).parquet(version)
-    touched = df.select(date_column).distinct()
     # Days only, so the list is short and prunes the stored partitions.
-    days = [r[0] for r in touched.collect()]
+    days = [r[0] for r in df.select(date_column).distinct().collect()]
     merged = upsert(stored.filter(F.col(date_column).isin(days)), df, key)
-    _exchange(_stage(merged, f"{path}/{_DAY_STAGE}", date_column), version, date_column)
+    _stage(merged, f"{path}/{_DAY_STAGE}", date_column)
+    _finish_days(spark, path, version, df.schema, date_column)
+
+
+def _finish_days(spark: SparkSession, path: str, version: str, schema: T.StructType, date_column: str) -> None:
+    """Exchange a complete stage, also one that a failed run left, then drop it."""
+    stage = f"{path}/{_DAY_STAGE}"
+    if "_SUCCESS" in _children(spark, stage):
+        _exchange(spark.read.schema(schema).parquet(stage), version, date_column)
+    _delete(spark, stage)
 
 
 def drop_old_versions(spark: SparkSession, path: str, company: str | None = None, keep: int = 2) -> None:

@@ -140,6 +140,23 @@ def test_rows_without_a_date_survive_a_window(spark, folder):
     assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 2)]
 
 
+def test_interrupted_day_upsert_loses_nothing(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    sinks.upsert_days(frame(spark, ("a", 1, 1), ("b", 1, 1), ("c", 1, 2)), path, ["k"], "dia")
+
+    def lose_the_day(staged, version, partition):
+        sinks._delete(spark, f"{version}/{partition}=2024-05-01")
+        raise RuntimeError("lost")
+
+    batch = frame(spark, ("b", 2, 1), ("d", 1, 1))
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "_exchange", lose_the_day)
+        with pytest.raises(RuntimeError):
+            sinks.upsert_days(batch, path, ["k"], "dia")
+    sinks.upsert_days(batch, path, ["k"], "dia")
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 2), ("c", 1), ("d", 1)]
+
+
 def test_upserts(spark):
     target = frame(spark, ("a", 1, 1), ("b", 2, 1))
     source = frame(spark, ("b", 20, 2), ("b", 30, 1), ("c", 40, 1))
