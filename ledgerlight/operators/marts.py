@@ -164,6 +164,7 @@ def unmapped_operations(lines: DataFrame, type_map: DataFrame, since: Day = FULL
     known = type_map.select("empresa", "nat_operacao")
     return (
         counted.join(known, ["nat_operacao", "empresa"], "left_anti")
+        .select("empresa", "nat_operacao", "qtd")
         .orderBy(F.desc("qtd"), F.asc_nulls_last("empresa"), F.asc_nulls_last("nat_operacao"))
         .limit(top)
     )
