@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from .chat import OP4_SQL, op4_prefix_targets
+from .decontaminate import op7_positional_index
+from .rules import op9_decision_list
 from .shards import op5_histogram_shards
+from .token_counts import op8_overlap_counts
 
 QUERIES = {
     "op4_prefix_targets": op4_prefix_targets,
     "op5_histogram_shards": op5_histogram_shards,
+    "op7_positional_index": op7_positional_index,
+    "op8_overlap_counts": op8_overlap_counts,
+    "op9_decision_list": op9_decision_list,
 }
 ORACLES = {"op4_prefix_targets": OP4_SQL}

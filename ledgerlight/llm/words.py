@@ -91,8 +91,8 @@ class Slice:
         return at, mix(value[at])
 
 
-def text_slices(column: pa.Array, word: np.ndarray, lower: bool = False) -> Iterator[Slice]:
-    """The texts of an Arrow string column, null as empty, in slices of about ``SLICE_BYTES``."""
+def text_slices(column: pa.Array, word: np.ndarray, lower: bool = False, slice_bytes: int = SLICE_BYTES) -> Iterator[Slice]:
+    """The texts of an Arrow string column, null as empty, in slices of about ``slice_bytes``."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -104,7 +104,7 @@ def text_slices(column: pa.Array, word: np.ndarray, lower: bool = False) -> Iter
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None else np.empty(0, dtype=np.uint8)
     row = 0
     while row < n:
-        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, side="right")) - 1)
+        stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + slice_bytes, side="right")) - 1)
         stop = min(stop, n)
         piece = data[offsets[row] : offsets[stop]]
         yield _split(range(row, stop), LOWER[piece] if lower else piece, offsets[row : stop + 1] - offsets[row], word)
