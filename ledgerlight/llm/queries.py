@@ -6,6 +6,7 @@ from .chat import OP4_SQL, op4_prefix_targets
 from .decontaminate import op7_positional_index
 from .rules import op9_decision_list
 from .shards import op5_histogram_shards
+from .simhash import op10_pigeonhole_simhash
 from .token_counts import op8_overlap_counts
 
 QUERIES = {
@@ -14,5 +15,6 @@ QUERIES = {
     "op7_positional_index": op7_positional_index,
     "op8_overlap_counts": op8_overlap_counts,
     "op9_decision_list": op9_decision_list,
+    "op10_pigeonhole_simhash": op10_pigeonhole_simhash,
 }
 ORACLES = {"op4_prefix_targets": OP4_SQL}
