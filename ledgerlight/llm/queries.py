@@ -8,8 +8,10 @@ from .rules import op9_decision_list
 from .shards import op5_histogram_shards
 from .simhash import op10_pigeonhole_simhash
 from .token_counts import op8_overlap_counts
+from .toxicity import op3_kneser_ney
 
 QUERIES = {
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_prefix_targets": op4_prefix_targets,
     "op5_histogram_shards": op5_histogram_shards,
     "op7_positional_index": op7_positional_index,
