@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from .chat import OP4_SQL, op4_prefix_targets
 from .decontaminate import op7_positional_index
+from .packing import op6_configuration_packing
 from .rules import op9_decision_list
 from .shards import op5_histogram_shards
 from .simhash import op10_pigeonhole_simhash
 from .token_counts import op8_overlap_counts
+from .token_file import op1_packed_tokens
 from .toxicity import op3_kneser_ney
 
 QUERIES = {
+    "op1_packed_tokens": op1_packed_tokens,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_prefix_targets": op4_prefix_targets,
     "op5_histogram_shards": op5_histogram_shards,
+    "op6_configuration_packing": op6_configuration_packing,
     "op7_positional_index": op7_positional_index,
     "op8_overlap_counts": op8_overlap_counts,
     "op9_decision_list": op9_decision_list,
