@@ -8,12 +8,14 @@ from .packing import op6_configuration_packing
 from .rules import op9_decision_list
 from .shards import op5_histogram_shards
 from .simhash import op10_pigeonhole_simhash
+from .substrings import OP2_SQL, op2_relative_lz
 from .token_counts import op8_overlap_counts
 from .token_file import op1_packed_tokens
 from .toxicity import op3_kneser_ney
 
 QUERIES = {
     "op1_packed_tokens": op1_packed_tokens,
+    "op2_relative_lz": op2_relative_lz,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_prefix_targets": op4_prefix_targets,
     "op5_histogram_shards": op5_histogram_shards,
@@ -23,4 +25,4 @@ QUERIES = {
     "op9_decision_list": op9_decision_list,
     "op10_pigeonhole_simhash": op10_pigeonhole_simhash,
 }
-ORACLES = {"op4_prefix_targets": OP4_SQL}
+ORACLES = {"op2_relative_lz": OP2_SQL, "op4_prefix_targets": OP4_SQL}
