@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import accumulate
 
 import numpy as np
@@ -9,8 +10,10 @@ import numpy as np
 from .token_counts import load
 
 STORE_WORDS = 250_000
-"""Words kept by a task; the store is emptied when it has more."""
+"""Words stored before the store grows old; an old store is kept for look-up until the next one is full."""
 GROUP_WORDS = 2_000
+# Letters with one lower-case form and no other composition, then marks that never join a letter.
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 class Encoder:
@@ -18,36 +21,88 @@ class Encoder:
 
     ``by_word``: the tokenizer drops white space and nothing it does reaches over a space or line feed, so a text's ids
     are those of its pieces between them, and a piece met before need not be encoded again. (True of word_bpe_49k: it
-    splits at white space, and neither its normalizer nor its special strings contain any.) Other texts are encoded whole.
+    splits at white space, and neither its normalizer nor its special strings contain any. It lower-cases, and cuts between
+    letters and marks other than apostrophes.) With other tokenizers, texts are encoded whole.
     """
 
     def __init__(self, path: str, by_word: bool = False) -> None:
         self.tokenizer = load(path)
         self.by_word = by_word
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab() if by_word else {}
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (unsigned 32-bit) of each text."""
         if not self.by_word:
             encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, dtype="<u4") for e in encoded]
-        pieces = [text.replace("\n", " ").split(" ") for text in texts]
         known = self.known
-        missing = {p for words in pieces for p in words if p not in known}
-        if len(known) + len(missing) > STORE_WORDS:
-            known.clear()
-            missing = {p for words in pieces for p in words}
-        self._learn(sorted(missing))
-        return [np.frombuffer(b"".join([known[p] for p in words]), dtype="<u4") for words in pieces]
-
-    def _learn(self, words: list[str]) -> None:
+        if len(known) > STORE_WORDS:
+            self.older, self.known = known, {}
+            known = self.known
+        pieces = [text.replace("\n", " ").split(" ") for text in texts]
+        flat = [p for words in pieces for p in words]
+        found = list(map(known.get, flat))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            self._learn({flat[k] for k in missing})
+            for k in missing:
+                found[k] = known[flat[k]]
+        ends = list(accumulate(map(len, pieces)))
+        return [np.frombuffer(b"".join(found[end - len(words) : end]), dtype="<u4") for words, end in zip(pieces, ends, strict=True)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Store the ids of ``words``; ``The``, ``the`` and ``the,`` are encoded as ``the`` and ``,`` once."""
+        known, older, simple, letters, others = self.known, self.older, [], set(), set()
+        for word in words:
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            match = _SIMPLE.fullmatch(word)
+            if match is None:
+                others.add(word)
+                continue
+            core, marks = match[1].lower(), match[2]
+            simple.append((word, core, marks))
+            for part, to in ((core, letters), (marks, others)):
+                if part not in known:
+                    ids = older.get(part)
+                    if ids is None:
+                        to.add(part)
+                    else:
+                        known[part] = ids
+        self._store(list(letters), letters_only=True)
+        self._store(list(others))
+        for word, core, marks in simple:
+            known[word] = known[core] + known[marks]
+
+    def _store(self, words: list[str], letters_only: bool = False) -> None:
+        """One call for many words. A word of letters ends with its only token that ends a word; else offsets tell."""
         for at in range(0, len(words), GROUP_WORDS):
             group = words[at : at + GROUP_WORDS]
-            # One call for many words; a token belongs to the word in which it starts.
-            encoding = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            begin = np.array([0, *accumulate(len(w) + 1 for w in group)])
-            owner = np.searchsorted(begin, np.array([o[0] for o in encoding.offsets], dtype=np.int64), side="right") - 1
-            ids = np.array(encoding.ids, dtype="<u4")
-            cut = np.searchsorted(owner, np.arange(len(group) + 1))
-            for k, word in enumerate(group):
-                self.known[word] = ids[cut[k] : cut[k + 1]].tobytes()
+            joined = " ".join(group)
+            if letters_only:
+                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+                cut = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
+            if not letters_only or len(cut) != len(group) + 1 or cut[-1] != len(ids):
+                encoding = self.tokenizer.encode(joined, add_special_tokens=False)
+                ids = np.array(encoding.ids, dtype="<u4")
+                begin = np.array([0, *accumulate(len(w) + 1 for w in group)])
+                owner = np.searchsorted(begin, np.array([o[0] for o in encoding.offsets], dtype=np.int64), side="right") - 1
+                cut = np.searchsorted(owner, np.arange(len(group) + 1))
+            raw, cut = ids.tobytes(), (4 * cut).tolist()
+            self.known.update(zip(group, (raw[a:b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
+
+
+def worker_encoder(path: str, by_word: bool) -> Encoder:
+    """The encoder of this Python worker, which Spark uses for many tasks: words of earlier tasks are still stored."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_ledgerlight_encoders", {})
+    if (path, by_word) not in kept:
+        kept[path, by_word] = Encoder(path, by_word)
+    return kept[path, by_word]

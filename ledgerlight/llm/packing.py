@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_folder, staged, table, text_key
-from .encoding import Encoder
+from .encoding import worker_encoder
 
 CAPACITY = 2048
 CLASSES = 256
 """Length classes of the linear programme."""
-STEP = 0.1
-"""Part of its tightest class's need that a bought filling covers; the accuracy of the solution."""
+STEP, ROUNDS = 0.2, 8
+"""Part of its tightest open class's need that a bought filling covers, and rounds for each class: the accuracy."""
 KEPT = (1.0, 0.9, 0.75, 0.5, 0.25)
 """Shares of the fractional solution that are tried when it is rounded."""
 GROUP_CHARS = 1 << 18
@@ -46,7 +46,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
     """The pieces of every document (doc_id, text): its ids and ``end_id``, cut every ``capacity`` ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer, by_word), np.array([end_id], dtype="<u4")
+        encoder, end = worker_encoder(tokenizer, by_word), np.array([end_id], dtype="<u4")
         for batch in batches:
             row = 0
             while row < batch.num_rows:
@@ -97,22 +97,23 @@ def _price(weights: np.ndarray, sizes: np.ndarray, limits: np.ndarray, room: int
 
 
 def solve_configurations(sizes: np.ndarray, counts: np.ndarray, room: int, step: float = STEP) -> list[tuple[list[int], float]]:
-    """Fillings (classes, ascending ``sizes``) and how often each is used, fractional: every class is covered."""
+    """Fillings (classes, ascending ``sizes``) and how often each is used, fractional."""
     need, covered = counts.astype(float), np.zeros(len(sizes))
     used: dict[tuple[int, ...], float] = {}
     limits = np.ceil(need).astype(int)
     rounds = 0
-    while covered.min() < 1 and rounds < 40 * len(sizes) / step:
+    while covered.min() < 1 and rounds < ROUNDS * len(sizes):
         rounds += 1
         # Weight of one piece of a class: its part of the need, less as the class is covered; length breaks ties.
         lag = np.exp(np.clip((covered.min() - covered) / step, -60, 0))
         filling = _price((lag + 1e-6) * sizes / room, sizes, limits, room)
         kinds, times = np.unique(filling, return_counts=True)
-        amount = step * float((need[kinds] / times).min())
+        open_ = covered[kinds] < 1
+        amount = step * float((need[kinds] / times)[open_ if open_.any() else slice(None)].min())
         covered[kinds] += amount * times / need[kinds]
         key = tuple(sorted(filling, reverse=True))
         used[key] = used.get(key, 0.0) + amount
-    scale = 1 / max(covered.min(), 1e-9)
+    scale = 1 / max(covered.min(), 1.0)  # what the rounds left uncovered goes best-fit
     return [(list(k), v * scale) for k, v in used.items()]
 
 

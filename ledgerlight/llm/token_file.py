@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_folder, table, text_key
-from .encoding import Encoder
+from .encoding import Encoder, worker_encoder
 
 BLOCK_IDS = 1 << 16
 """A block ends with the document that reaches so many ids."""
@@ -76,7 +76,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int, by
     bits = bits_for(max(vocabulary, end_id + 1))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer, by_word), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(tokenizer, by_word), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4")
         doc_ids: list[int | None] = []
         parts: list[np.ndarray] = []
