@@ -9,6 +9,7 @@ from ..operators import field, filters, indicators, marts, monitoring, orders, p
 from ..sinks import tables as sinks
 from ..sources.database import high_water_mark, read_window
 from ..sources.exports import history_cutoff
+from .oracle_views import VIEWS
 from .registry import query
 from .tables import AS_OF, COMPANY, END, SELLER, START, text
 
@@ -538,16 +539,7 @@ def sales_summary(t):
 @query(
     "sales_summary_of_seller",
     _SUMMARY_COLUMNS,
-    f"""select coalesce(sum(valor) filter (where tipo = 'venda'), 0)
-                 - coalesce(sum(valor) filter (where tipo = 'devolucao'), 0) as faturamento_total,
-               coalesce(sum(valor) filter (where tipo = 'devolucao'), 0) as devolucoes,
-               coalesce(sum(qt_caixas) filter (where tipo <> 'devolucao'), 0) as caixas_total,
-               coalesce(sum(qt_caixas) filter (where tipo = 'bonificacao'), 0) as caixas_bonificadas,
-               count(distinct nr_pedido) filter (where tipo = 'venda') as pedidos,
-               count(distinct nr_nota) filter (where tipo = 'venda') as notas,
-               count(distinct cod_cliente) filter (where tipo = 'venda' and valor > 0) as clientes_positivados,
-               count(distinct (nr_pedido, it_codigo)) filter (where tipo = 'venda') as linhas_pedido
-        from period where cod_vendedor = '{SELLER}'""",
+    f"{VIEWS['summary']} where cod_vendedor = '{SELLER}'",
 )
 def _(t):
     return sales.sales_summary(t.sales, START, END, SELLER, COMPANY)

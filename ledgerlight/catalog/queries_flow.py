@@ -130,6 +130,37 @@ def _(t):
     return board_document({**_sales_board(t), **_orders_board(t)})
 
 
+_DOCUMENT_VALUES = {
+    "faturamento_hoje": "select faturamento_hoje from today",
+    "caixas_hoje": "select caixas_hoje from today",
+    "resumo.faturamento_total": "select faturamento_total from summary",
+    "visitas.checkins": "select checkins from visit_totals",
+    "pedidos.carteira_aberta.valor": "select valor from backlog",
+    "pedidos.fill_rate.caixas_faturadas": "select caixas_faturadas from filled",
+}
+_DOCUMENT_LISTS = {
+    "por_canal": "channels", "por_vendedor": "seller_totals", "por_dia": "day_totals", "metas": "goal_actuals",
+    "pedidos.corte_por_motivo": "reasons", "pedidos.carteira_por_vendedor": "seller_backlog",
+}
+
+
+@query(
+    "dashboard_values",
+    "caminho:s valor:d",
+    "\nunion all ".join(
+        [f"select '{path}' as caminho, cast(({sql}) as double) as valor" for path, sql in _DOCUMENT_VALUES.items()]
+        + [f"select '{path}', cast((select count(*) from {view}) as double)" for path, view in _DOCUMENT_LISTS.items()]
+    ),
+)
+def _(t):
+    """Numbers and list lengths of the document, by their paths in it."""
+    document = board_document({**_sales_board(t), **_orders_board(t)})
+    numbers = [(p, F.get_json_object("documento", f"$.{p}")) for p in _DOCUMENT_VALUES]
+    lengths = [(p, F.json_array_length(F.get_json_object("documento", f"$.{p}"))) for p in _DOCUMENT_LISTS]
+    pairs = F.array(*(F.struct(F.lit(p).alias("caminho"), v.cast("double").alias("valor")) for p, v in numbers + lengths))
+    return document.select(F.inline(pairs))
+
+
 # -------------------------------------------------------------- load strategies
 
 _CUSTOMER_COLUMNS = "empresa:s cod_cliente:s nome:s canal:s limite_credito:d"

@@ -41,16 +41,17 @@ def movement_of_order(kind: Column) -> Column:
     return F.when(F.lower(F.coalesce(kind, F.lit(""))).startswith(ORDER_RETURN_PREFIX), RETURN).otherwise(SALE)
 
 
+def _status_key(status: Column) -> Column:
+    """The form in which a status is compared, for its group and its cut reason alike."""
+    return F.lower(F.trim(F.coalesce(status, F.lit(""))))
+
+
 def status_group(status: Column) -> Column:
-    text = F.coalesce(status, F.lit(""))
-    return (
-        F.when(F.lower(text) == STATUS_INVOICED, INVOICED)
-        .when((F.lower(text) == STATUS_OPEN) | (F.trim(text) == ""), OPEN)
-        .otherwise(CUT)
-    )
+    text = _status_key(status)
+    return F.when(text == STATUS_INVOICED, INVOICED).when(text.isin(STATUS_OPEN, ""), OPEN).otherwise(CUT)
 
 
 def cut_reason(status: Column) -> Column:
     """Text before the first dash, for items that were neither invoiced nor open."""
-    settled = F.lower(F.trim(F.coalesce(status, F.lit("")))).isin(STATUS_INVOICED, STATUS_OPEN, "")
+    settled = _status_key(status).isin(STATUS_INVOICED, STATUS_OPEN, "")
     return F.when(~settled, F.split_part(status, F.lit("-"), F.lit(1)))

@@ -38,12 +38,15 @@ def _loaded(loaded_at: Column | None) -> Column:
 
 
 def classify_operations(operations: DataFrame) -> DataFrame:
-    return operations.select(
+    """One row per company and trimmed code: of codes that differ in blanks only, the one with the greatest values."""
+    trimmed = operations.select(
         "empresa",
         F.trim("nat_operacao").alias("nat_operacao"),
         F.trim(F.coalesce("cfop", F.lit(""))).alias("cfop"),
         movement_of_operation(F.col("denominacao"), F.col("tipo"), F.col("log_bonif")).alias("tipo"),
     )
+    one = trimmed.groupBy("empresa", "nat_operacao").agg(F.max(F.struct("cfop", "tipo")).alias("one"))
+    return one.select("empresa", "nat_operacao", F.col("one.cfop").alias("cfop"), F.col("one.tipo").alias("tipo"))
 
 
 def movement_distribution(type_map: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ from ..operators import orders as order_ops
 from ..operators import portfolio, sales
 from ..schemas import FIELD_APP_ORIGIN
 
-MAX_DOCUMENT_ITEMS = 50_000
+# Blocks nested in "pedidos", and one-row blocks whose columns stand at top level.
+ORDER_BLOCKS = ("carteira_aberta", "fill_rate", "corte_por_motivo", "carteira_por_vendedor")
+FLAT_BLOCKS = ("dados_ate", "hoje")
 
 
 @dataclass(frozen=True)
@@ -143,23 +145,8 @@ def board_measures(blocks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-class BoardTooLarge(ValueError):
-    """A list block has more items than one document should hold."""
-
-
-def _check_size(blocks: dict[str, DataFrame], max_items: int) -> None:
-    lists = {name: df for name, df in blocks.items() if name in LIST_BLOCKS}
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("bloco"), "n") for name, df in lists.items()]
-    if not counts:
-        return
-    large = reduce(DataFrame.unionByName, counts).filter(F.col("n") > max_items).collect()
-    if large:
-        names = ", ".join(f"{r.bloco} ({r.n})" for r in large)
-        raise BoardTooLarge(f"more than {max_items} items in {names}: write board_lines instead")
-
-
 def _as_array(df: DataFrame, spec: ListBlock) -> DataFrame:
-    """All items of a checked, small block as one ordered array."""
+    """All items of a block as one ordered array, which is one value by the contract."""
     rank = F.col(spec.order)
     rank = -rank if spec.descending else rank
     keyed = F.struct(
@@ -170,19 +157,27 @@ def _as_array(df: DataFrame, spec: ListBlock) -> DataFrame:
     return df.agg(F.transform(ordered, lambda x: x["item"]).alias("itens"))
 
 
-def board_document(blocks: dict[str, DataFrame], max_items: int = MAX_DOCUMENT_ITEMS) -> DataFrame:
-    """The board as one JSON document (one row, column ``documento``).
+def board_document(blocks: dict[str, DataFrame]) -> DataFrame:
+    """The board as one JSON document (one row, column ``documento``), as dashboards read it.
 
-    The number of items is counted first; a board too large for one value is
-    refused, and ``board_lines`` carries it instead. Blocks become scalar
-    subqueries, which Spark runs side by side.
+    ``dados_ate`` is a plain value, the totals of the day stand at top level, and the order blocks are nested in
+    ``pedidos``. One document is one value, so its lists must fit in one row; it is put together in the same way at
+    every size, and ``board_lines`` has the same content as rows, written in parallel. Blocks become scalar
+    subqueries, which Spark runs side by side; each is computed once.
     """
-    _check_size(blocks, max_items)
     spark = next(iter(blocks.values())).sparkSession
-    fields = []
+    fields, orders = [], []
     for name, df in blocks.items():
         spec = LIST_BLOCKS.get(name)
         one = _as_array(df, spec) if spec else df.select(F.struct(*df.columns).alias("linha"))
-        fields.append(one.scalar().alias(name))
+        value = one.scalar()
+        if name in ORDER_BLOCKS:
+            orders.append(value.alias(name))
+        elif name in FLAT_BLOCKS:
+            fields += [value[column].alias(column) for column in df.columns]
+        else:
+            fields.append(value.alias(name))
+    if orders:
+        fields.append(F.struct(*orders).alias("pedidos"))
     document = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return spark.range(1).select(document.alias("documento"))

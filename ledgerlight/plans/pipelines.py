@@ -102,11 +102,14 @@ def load_fact(
         if cutoff is None:
             tables.replace_fact(rows, path, company, date_column)
         else:
-            tables.replace_window(rows, path, company, date_column, cutoff)
+            # A source that does not deliver the key's columns cannot tell which of its lines have moved.
+            key = FACT_KEYS[entity] if set(FACT_KEYS[entity]) <= set(rows.columns) else ()
+            tables.replace_window(rows, path, company, date_column, cutoff, key)
         step.rows = stored_rows(spark, path, company, rows.schema, (date_column, cutoff) if cutoff else None)
 
 
 FACT_DATES = {"invoice_lines": "dt_emis_nota", "orders": "dt_venda"}
+FACT_KEYS = {"invoice_lines": schemas.KEYS["invoice_lines"], "orders": schemas.KEYS["order_lines"]}
 
 
 # ------------------------------------------------------------------ export path
@@ -179,16 +182,30 @@ DIMENSIONS = ("operations", "families", "items", "parties", "reps")
 
 
 def jdbc_source(
-    spark: SparkSession, options: dict[str, dict[str, str]], company: str, as_of: Day, **settings
+    spark: SparkSession,
+    options: dict[str, dict[str, str]],
+    company: str,
+    as_of: Day,
+    first_year: int | None = None,
+    slices_per_year: int = 12,
+    **settings,
 ) -> Source:
-    """Source over JDBC; ``options`` maps each entity to its database's options."""
+    """Source over JDBC; ``options`` maps each entity to its database's options.
+
+    Whole facts are read from ``first_year`` on (two years before ``as_of`` if not given), in date slices, and what is
+    dated after the year of ``as_of`` in one more. Its ``history_start`` tells ``refresh_full`` what to leave.
+    """
+    first, last = default_first_year(as_of) if first_year is None else first_year, int(str(as_of)[:4])
 
     def read(entity: str, span: tuple[Day, Day] | None) -> DataFrame:
-        if span is None and entity in ("invoice_lines", "orders"):
-            first, last = default_first_year(as_of), int(str(as_of)[:4])
-            return read_by_year(spark, options[entity], entity, company, first, last, scope=settings.get("scope"))
+        if span is None and entity in FACT_DATES:
+            scope = settings.get("scope")
+            years = read_by_year(spark, options[entity], entity, company, first, last, slices_per_year, scope=scope)
+            later = (f"{last + 1}-01-01", OPEN_END)
+            return years.unionByName(read_source_table(spark, options[entity], entity, company, later, **settings))
         return read_source_table(spark, options[entity], entity, company, span, **settings)
 
+    read.history_start = f"{first}-01-01"
     return read
 
 
@@ -238,7 +255,7 @@ def rebuild_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day, wh
         if whole:
             tables.replace_fact(sales, path, company, "data_emissao")
         else:
-            tables.replace_window(sales, path, company, "data_emissao", cutoff)
+            tables.replace_window(sales, path, company, "data_emissao", cutoff, schemas.KEYS["sales"])
         step.rows = stored_rows(spark, path, company, schemas.SALES, ("data_emissao", cutoff))
         step.message = _unmapped_message(marts.unmapped_operations(lines, kinds, cutoff))
 
@@ -262,13 +279,19 @@ def refresh_full(
     company: str,
     field_landing: str | None = None,
     cutoff: Day = marts.FULL_SINCE,
+    since: Day | None = None,
 ) -> None:
-    """Whole history from the ERP."""
+    """The history that the ERP holds.
+
+    Facts dated ``since`` or later are replaced, older ones stay; the source's own ``history_start`` counts if ``since``
+    is not given. Without either, the source holds everything and the facts become what it gives.
+    """
+    since = since or getattr(source, "history_start", None)
     load_dimensions(spark, lake, source, company)
     build_dimensions(spark, lake, company)
-    load_fact(spark, lake, "invoice_lines", source("invoice_lines", None), company)
+    load_fact(spark, lake, "invoice_lines", source("invoice_lines", None), company, since)
     rebuild_sales(spark, lake, company, cutoff, whole=True)
-    load_fact(spark, lake, "orders", source("orders", None), company)
+    load_fact(spark, lake, "orders", source("orders", None), company, since)
     load_registrations(spark, lake, source, company)
     sync_field(spark, lake, field_landing)
 

@@ -175,4 +175,6 @@ KEYS = {
     "goals": ["cod_vendedor", "mes"],
     "visits": ["id"],
     "agenda": ["id"],
+    "invoice_lines": ["nr_nota_fis", "nr_seq_fat", "serie", "cod_estabel", "empresa"],
+    "order_lines": ["nr_pedcli", "nr_sequencia", "nome_abrev", "empresa"],
 }

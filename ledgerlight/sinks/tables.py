@@ -23,6 +23,7 @@ from ..schemas import MONTH_PARTITION
 _VERSION = re.compile(r"^v(\d{8})$")
 _COMPANY = re.compile(r"^empresa=(.+)$")
 _STAGES = "window_stages"
+_MOVED = "window_moved"
 _DAY_STAGE = "day_stage"
 _SAFE_CODE = re.compile(r"^[A-Za-z0-9_-]+$")
 
@@ -133,9 +134,15 @@ def replace_fact(df: DataFrame, path: str, company: str, date_column: str) -> No
     replace_company(with_month(df, date_column), path, company, [MONTH_PARTITION])
 
 
-def replace_window(df: DataFrame, path: str, company: str, date_column: str, cutoff: Day) -> None:
+def replace_window(
+    df: DataFrame, path: str, company: str, date_column: str, cutoff: Day, key: Sequence[str] = ()
+) -> None:
     """All rows of a fact dated ``cutoff`` or later become those in ``df``.
 
+    With a ``key``, a row whose date has moved into the window leaves its old
+    place: stored rows before the cutoff with the key of a new row go, and the
+    months that held them are staged and exchanged like those of the window.
+
     The months from the cutoff on are staged completely, the older rows of the
     first month included, and then exchanged; earlier months are never touched
     and months that the source no longer has are emptied. A stage that a failed
@@ -153,9 +160,20 @@ def replace_window(df: DataFrame, path: str, company: str, date_column: str, cut
         return
     _finish_windows(spark, folder, version, rows.schema)
     stored = spark.read.schema(rows.schema).parquet(version)
-    in_first_month = F.col(MONTH_PARTITION) == month_key(since)
-    kept = stored.filter(in_first_month & (F.col(date_column) < F.lit(since)))
-    _stage(kept.unionByName(rows), f"{folder}/{_STAGES}/{_name(version)}_{since.isoformat()}", MONTH_PARTITION)
+    name = f"{_name(version)}_{since.isoformat()}"
+    earlier = stored.filter(F.col(date_column) < F.lit(since))
+    months = set()
+    key = [c for c in key if c != "empresa"]
+    if key:
+        new = rows.select(*key).distinct()
+        held = earlier.select(*key, MONTH_PARTITION).join(new, key, "left_semi")
+        months = {r[0] for r in held.select(MONTH_PARTITION).distinct().collect()}  # one for each month
+        listed = spark.createDataFrame([(m,) for m in sorted(months)], "mes string")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_MOVED}/{name}")
+    kept = earlier.filter(F.col(MONTH_PARTITION).isin(sorted(months | {month_key(since)})))
+    if months:
+        kept = kept.join(new, key, "left_anti").select(*rows.columns)
+    _stage(kept.unionByName(rows), f"{folder}/{_STAGES}/{name}", MONTH_PARTITION)
     _finish_windows(spark, folder, version, rows.schema)
 
 
@@ -168,6 +186,9 @@ def _finish_windows(spark: SparkSession, folder: str, version: str, schema: T.St
             staged = spark.read.schema(schema).parquet(stage)
             stored = spark.read.schema(schema).parquet(version)
             gone = _months(stored, cutoff) - _months(staged, cutoff)
+            if name in _children(spark, f"{folder}/{_MOVED}"):
+                moved = {r[0] for r in spark.read.parquet(f"{folder}/{_MOVED}/{name}").collect()}
+                gone |= moved - _months(staged, min(moved)) if moved else set()
             _exchange(staged, version, MONTH_PARTITION)
             nothing = spark.createDataFrame([], schema).drop(MONTH_PARTITION)
             for month in sorted(gone):
@@ -180,9 +201,9 @@ def _name(folder: str) -> str:
 
 
 def _months(df: DataFrame, cutoff: str) -> set[str]:
-    """Months present from the cutoff's on: partition values, one per month."""
+    """Months present from that of ``cutoff`` (a day or month) on: partition values, one per month."""
     month = F.col(MONTH_PARTITION)
-    return {r[0] for r in df.filter(month >= month_key(cutoff)).select(month).distinct().collect()}
+    return {r[0] for r in df.filter(month >= cutoff[:7]).select(month).distinct().collect()}
 
 
 def _stage(rows: DataFrame, stage: str, partition: str) -> None:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
+from ledgerlight.operators import marts
 from ledgerlight.plans import boards, pipelines
 from ledgerlight.sinks import run_log
 from ledgerlight.sinks import tables as sinks
@@ -123,6 +124,36 @@ def test_full_then_window_equals_full(spark, tmp_path):
     assert any(m.endswith(": 9") for m in messages)
 
 
+def test_a_line_that_changes_its_date_is_counted_once(spark, tmp_path):
+    def d(month, n):
+        return dt.date(2024, month, n)
+
+    before = [("1", "1", 10, d(4, 2), None), ("2", "1", 20, d(5, 1), None), ("3", "1", 30, d(5, 2), None), ("5", "1", 50, d(3, 3), None)]
+    after = [("1", "1", 10, d(5, 20), None), ("2", "1", 20, d(5, 20), None), ("3", "1", 30, d(5, 2), None), ("5", "1", 50, d(3, 3), None)]
+    lake = pipelines.Lake(str(tmp_path / "lake"))
+    pipelines.refresh_full(spark, lake, erp(spark, before), "c1")
+    for _ in range(2):
+        pipelines.refresh_window(spark, lake, erp(spark, after), "c1", d(5, 21))
+        expected = [("1", d(5, 20)), ("2", d(5, 20)), ("3", d(5, 2)), ("5", d(3, 3))]
+        assert rows(sinks.read_table(spark, lake.mart("sales"), "c1"), "nr_nota", "data_emissao") == expected
+        assert rows(sinks.read_table(spark, lake.raw("invoice_lines"), "c1"), "nr_nota_fis", "dt_emis_nota") == expected
+
+
+def test_full_load_leaves_what_is_older_than_the_source(spark, tmp_path):
+    lines = [("1", "1", 10, dt.date(2020, 4, 2), None), ("2", "1", 20, dt.date(2024, 5, 1), None)]
+    lake = pipelines.Lake(str(tmp_path / "lake"))
+    pipelines.refresh_full(spark, lake, erp(spark, lines), "c1", cutoff="2019-01-01")
+    source = erp(spark, lines[1:])
+    source.history_start = "2022-01-01"
+    pipelines.refresh_full(spark, lake, source, "c1", cutoff="2019-01-01")
+    assert rows(sinks.read_table(spark, lake.mart("sales"), "c1"), "nr_nota") == [("1",), ("2",)]
+
+
+def test_operation_codes_that_differ_in_blanks_are_one(spark):
+    two = spark.createDataFrame([("c1", "510", "VENDA", 2, "1", False), ("c1", "510 ", "VENDA", 2, "2", False)], schemas.OPERATIONS)
+    assert rows(marts.classify_operations(two), "nat_operacao", "cfop") == [("510", "2")]
+
+
 def board(spark):
     totals = spark.createDataFrame([(D("1.50"), None)], "valor decimal(14,2), pct double")
     reasons = spark.createDataFrame([("A", D("1.00")), ("B", D("5.00")), ("C", None)], "motivo string, caixas decimal(14,2)")
@@ -130,18 +161,21 @@ def board(spark):
 
 
 def test_document(spark):
-    document = json.loads(boards.board_document(board(spark)).first().documento)
+    today = spark.createDataFrame([(D("3.00"), D("2.00"))], "faturamento_hoje decimal(14,2), caixas_hoje decimal(14,2)")
+    until = spark.createDataFrame([("2024-05-01",)], "dados_ate string")
+    document = json.loads(boards.board_document({"dados_ate": until, "hoje": today, **board(spark)}).first().documento)
     assert document == {
-        "carteira_aberta": {"valor": 1.5, "pct": None},
-        "corte_por_motivo": [{"motivo": "B", "caixas": 5.0}, {"motivo": "A", "caixas": 1.0}, {"motivo": "C", "caixas": None}],
-    }
+        "dados_ate": "2024-05-01", "faturamento_hoje": 3.0, "caixas_hoje": 2.0,
+        "pedidos": {
+            "carteira_aberta": {"valor": 1.5, "pct": None},
+            "corte_por_motivo": [{"motivo": "B", "caixas": 5.0}, {"motivo": "A", "caixas": 1.0}, {"motivo": "C", "caixas": None}],
+        },
+    }
     empty = {name: df.filter("false") if name == "corte_por_motivo" else df for name, df in board(spark).items()}
-    assert json.loads(boards.board_document(empty).first().documento)["corte_por_motivo"] == []
+    assert json.loads(boards.board_document(empty).first().documento)["pedidos"]["corte_por_motivo"] == []
 
 
-def test_large_board_is_refused_as_document_but_whole_as_lines(spark):
-    with pytest.raises(boards.BoardTooLarge, match="corte_por_motivo"):
-        boards.board_document(board(spark), max_items=2)
+def test_board_lines_hold_every_item(spark):
     lines = boards.board_lines(board(spark))
     assert lines.count() == 4
     assert json.loads(lines.filter("item = 'C'").first().conteudo) == {"motivo": "C", "caixas": None}
