@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from ledgerlight.catalog.registry import oracle_statements, spark_queries
 from tests.check_oracles import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = spark_queries()  # filled by the entry module
+ORACLES = oracle_statements()
 # These write or stream when they are built; their plans are reads of what they wrote.
 WRITERS = {
     "refresh_from_exports", "refresh_full_then_window", "visits_stream_daily", "visits_stream_table", "replace_table",
