@@ -67,6 +67,24 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def row_key(df: DataFrame) -> Column:
+    """A 64-bit hash of doc_id and text: rows equal in both are the same document."""
+    return F.xxhash64(df["doc_id"].isNull(), df["doc_id"], F.coalesce(df["text"], F.lit("")))
+
+
+def rank(df: DataFrame) -> Column:
+    """Orders rows by doc_id, null last, then by the hash of the text; ends with the row's key."""
+    return F.struct(df["doc_id"].isNull().alias("none"), df["doc_id"].alias("doc_id"), text_key(df["text"]).alias("text"), row_key(df).alias("key"))
+
+
+def keep_first(df: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``df`` with one row of each component; ``grouped`` (component, first) holds the ranks of all rows."""
+    first = grouped.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("first_key"))
+    name = prefixed(df, ["first_key"], "key")
+    kept = df.withColumn(name, row_key(df))
+    return kept.join(first, kept[name] == F.col("first_key"), "left_semi").dropDuplicates([name]).drop(name)
+
+
 def prefixed(df: DataFrame, taken: set[str] | list[str], wanted: str) -> str:
     """``wanted``, with underscores before it until no column of ``df`` or ``taken`` has the name."""
     have = {c.lower() for c in [*df.columns, *taken]}

@@ -102,3 +102,26 @@ def near_duplicates(rows, tau=4):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return sorted((d, f"{fingerprint(t):016x}", find(d)) for d, t in rows)
+
+
+def jaccard_groups(rows, size=5, similarity=0.8):
+    """(doc_id, text) of the rows that stay: the first by id of each group that pairs of the similarity connect; ids differ."""
+    sets = []
+    for _, t in rows:
+        w = words((t or "").translate(_LOW))
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0]))
+    for i, a in enumerate(order):
+        for b in order[i + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common >= similarity * (len(sets[a]) + len(sets[b]) - common):
+                x, y = sorted((order.index(find(a)), order.index(find(b))))
+                root[order[y]] = order[x]
+    return [rows[k] for k in order if find(k) == k]
