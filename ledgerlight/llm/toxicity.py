@@ -2,13 +2,13 @@
 
 A word bigram model is learned from toxic and one from ordinary texts. Counts of bigrams are discounted; what is taken off
 goes to a class's continuation counts (before how many different words a word was seen), and what is taken off there goes
-to continuation counts that both classes share, gathered from all documents. A word that neither class knows well thus has
+to continuation counts that both classes share: different words before a word in all documents. A word that neither class knows well thus has
 the same probability in both, up to the classes' back-off weights. A text's score comes from the difference of its two
 log-likelihoods by word, so only the ratios are kept: of bigrams, of the back-off weights of contexts, and of words.
 
 Bounds: at most ``MAX_PER_CLASS`` labelled texts of each class teach (those with the smallest hashes of their ids), a fifth
-of them only the final logistic step; the tables sent to tasks hold at most ``MAX_WORDS`` words, as many contexts, and
-``MAX_BIGRAMS`` bigrams, the most frequent ones. The shared counts and the scores cover all documents and whole texts.
+of them only the final logistic step. The tables sent to tasks hold every word, context and bigram of those texts, 12 bytes
+each, so they are bounded by the texts. The shared counts and the scores cover all documents, all words and whole texts.
 
 Cases: null and empty texts have no words and get the score of no evidence; repeated rows are scored alike; a document
 with several labels is toxic if one says so; rows with null label or id do not teach; without labels of both classes every
@@ -31,13 +31,14 @@ from .common import prefixed, shared_folder, staged, table
 from .words import ALNUM, mix, text_slices
 
 MAX_PER_CLASS = 10_000
-MAX_WORDS, MAX_BIGRAMS = 300_000, 300_000
-MIN_CONTEXTS, MIN_BIGRAM = 6, 6
-"""A word or bigram seen less often in the classes together is left to the shared counts."""
+PAIR_SLICE = 32 << 20
+"""Bytes of text whose pairs of words are sent to the shared counts once."""
 FIRST_WORD = np.uint64(0x5851F42D4C957F2D)
 STRONG = 1.5
+RARE = 6
+"""Words before which the classes saw fewer words than this, and bigrams that they saw less often, have features of their own."""
 
-N_FEATURES = 5
+N_FEATURES = 7
 _BIGRAM = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -75,22 +76,31 @@ class Model:
 
     words: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
     word_ratio: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.float32))
+    word_rare: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=bool))
     other_word: float = 0.0
     contexts: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
     context_ratio: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.float32))
     bigrams: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.uint64))
     bigram_ratio: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=np.float32))
+    bigram_rare: np.ndarray = field(default_factory=lambda: np.empty(0, dtype=bool))
     weights: tuple[float, ...] = (0.0,) * N_FEATURES
     intercept: float = 0.0
 
     def features(self, s) -> np.ndarray:
         """By text: mean log ratio; what strong words have above ``STRONG`` (roots of the means over all words and over the
-        different ones); number (as a logarithm) and share of strong ones among the different words."""
+        different ones); number (as a logarithm) and share of strong ones among the different words; what rare words and
+        what words in rare bigrams have above ``STRONG`` (roots of the means over the different words).
+
+        Rare bigrams count with their lower order in the strong words' features, and rare words not at all: those have
+        features of their own, as single sightings are weaker evidence.
+        """
         before, words = _words(s)
-        ratio, _ = _look(self.words, self.word_ratio, words, self.other_word)
-        ratio += _look(self.contexts, self.context_ratio, before, 0.0)[0]
-        own, held = _look(self.bigrams, self.bigram_ratio, _pair(before, words), 0.0)
-        ratio = np.where(held, own, ratio)
+        lower = _look(self.words, self.word_ratio, words, self.other_word)[0] + _look(self.contexts, self.context_ratio, before, 0.0)[0]
+        pair = _pair(before, words)
+        own, held = _look(self.bigrams, self.bigram_ratio, pair, 0.0)
+        ratio = np.where(held, own, lower)
+        rare_pair = held & (_look(self.bigrams, self.bigram_rare, pair, 0)[0] > 0)
+        rare_word = _look(self.words, self.word_rare, words, 1)[0] > 0
         counts = np.maximum(s.counts, 1)
 
         def mean(x: np.ndarray) -> np.ndarray:
@@ -100,12 +110,16 @@ class Model:
         _, first = np.unique(words + mix(s.owner().astype(np.uint64) + FIRST_WORD), return_index=True)
         once = np.zeros(len(words))
         once[first] = 1.0
-        above = np.maximum(ratio - STRONG, 0)
         distinct = np.maximum(mean(once) * counts, 1)
+
+        def root(x: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(mean(x), 0))  # differences of sums can fall below zero by rounding
+
+        above = np.where(rare_word, 0.0, np.maximum(np.where(rare_pair, lower, ratio) - STRONG, 0))
         number = mean(once * (above > 0)) * counts
-        return np.stack(
-            [mean(ratio), np.sqrt(mean(above)), np.sqrt(mean(above * once) * counts / distinct), np.log1p(number), number / distinct], axis=1
-        )
+        of_distinct = np.sqrt(counts / distinct)
+        rare = [root(np.where(x, np.maximum(ratio - STRONG, 0), 0.0) * once) * of_distinct for x in (rare_word, rare_pair & ~rare_word)]
+        return np.stack([mean(ratio), root(above), root(above * once) * of_distinct, np.log1p(np.maximum(number, 0)), number / distinct, *rare], axis=1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights) + self.intercept, -30, 30)))
@@ -145,38 +159,41 @@ def _bigram_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("before", "word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def _shared_counts(docs: DataFrame, known: np.ndarray) -> np.ndarray:
-    """For each known word, the different words before it in each document, summed over all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+def _shared_counts(docs: DataFrame) -> DataFrame:
+    """word and shared: before how many different words each word was seen in all documents.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = sent.value
-        total = np.zeros(len(keys), dtype=np.int64)
+    A task sends each pair of words once for each slice of texts, and the pairs are counted over all documents, so copies
+    count once.
+    """
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in text_slices(batch.column("text"), ALNUM, lower=True):
+            for s in text_slices(batch.column("text"), ALNUM, lower=True, slice_bytes=PAIR_SLICE):
                 before, words = _words(s)
-                at, held = _look(keys, np.arange(len(keys)), words, -1)
-                once = _pair(before[held], words[held]) + mix(s.owner()[held].astype(np.uint64) + FIRST_WORD)
-                _, first = np.unique(once, return_index=True)
-                total += np.bincount(at[held][first].astype(np.int64), minlength=len(keys))
-        seen = np.flatnonzero(total)
-        yield pa.record_batch({"at": pa.array(seen), "n": pa.array(total[seen])})
+                _, first = np.unique(_pair(before, words), return_index=True)
+                yield pa.record_batch({"before": pa.array(before[first].view(np.int64)), "word": pa.array(words[first].view(np.int64))})
 
-    summed = docs.select("text").mapInArrow(count, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(known), dtype=np.int64)
-    for at, n in summed.toLocalIterator():  # at most MAX_WORDS
-        out[at] = n
-    return out
+    different = docs.select("text").mapInArrow(pairs, "before bigint, word bigint").distinct()
+    return different.groupBy("word").agg(F.count("*").alias("shared"))
 
 
 def _discount(ones: int, twos: int) -> float:
     return ones / (ones + 2 * twos) if ones and twos else 0.5
 
 
-def _fetch(df: DataFrame, order: Column, keys: list[str], limit: int) -> dict[str, np.ndarray]:
-    """At most ``limit`` rows, the largest by ``order``, as arrays."""
-    got = df.orderBy(order.desc(), *keys).limit(limit).toArrow()
-    return {c: got.column(c).to_numpy() for c in got.column_names}
+def _fetch(df: DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of ``keys`` (a word, or a word and the one before it), ascending, log ratios, and which are rare: all rows."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = [np.asarray(batch.column(k)).view(np.uint64) for k in keys]
+            of = _pair(*of) if len(of) == 2 else of[0]
+            yield pa.record_batch({"key": pa.array(of.view(np.int64)), "ratio": pa.array(np.asarray(batch.column("ratio")).astype(np.float32)), "rare": batch.column("rare")})
+
+    got = df.select(*keys, "ratio", "rare").mapInArrow(hashed, "key bigint, ratio float, rare boolean").toArrow()
+    key, ratio, rare = (got.column(c).to_numpy() for c in ("key", "ratio", "rare"))
+    order = np.argsort(key.view(np.uint64))
+    return key.view(np.uint64)[order], ratio[order], rare.astype(bool)[order]
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> Model:
@@ -204,41 +221,28 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     d_lower = [_discount(lower[f"{c}_1"], lower[f"{c}_2"]) for c in ("c0", "c1")]
     d_upper = [_discount(upper[f"{c}_1"], upper[f"{c}_2"]) for c in ("n0", "n1")]
 
-    # Words: continuation counts of the class, backed off to the shared ones.
-    seen = _fetch(of_word.where(F.col("c0") + F.col("c1") >= MIN_CONTEXTS), F.col("c0") + F.col("c1"), ["word"], MAX_WORDS)
-    order = np.argsort(seen["word"].view(np.uint64))
-    words = seen["word"].view(np.uint64)[order]
-    shared = _shared_counts(docs, words).astype(float) + 1
-    # Words outside the table share the place of the rare ones.
-    shared /= shared.sum()
+    # Words: continuation counts of the class, backed off to the shared ones. All words of the teaching texts are among
+    # those of all documents; a word that neither class knows has the ratio of the back-off weights, its shared part cancels.
+    shared = staged(_shared_counts(docs), folder, "shared")
+    total = shared.agg(F.sum("shared")).first()[0] or 1
     back = [d_lower[c] * lower[f"types_c{c}"] / max(lower[f"c{c}"], 1) for c in (0, 1)]
-    p = [np.maximum(seen[f"c{c}"][order] - d_lower[c], 0) / max(lower[f"c{c}"], 1) + back[c] * shared for c in (0, 1)]
-    model = Model(words=words, word_ratio=np.log(p[1] / p[0]).astype(np.float32), other_word=float(np.log(back[1] / back[0])))
-
-    # Contexts and bigrams: kept bigrams are discounted, all else of a context goes to its words' lower order.
-    kept = F.col("n0") + F.col("n1") >= MIN_BIGRAM
-    contexts = counted.groupBy("before").agg(
-        *(F.sum(f"n{c}").alias(f"n{c}") for c in (0, 1)),
-        *(F.sum(F.when(kept, F.greatest(F.col(f"n{c}") - d_upper[c], F.lit(0.0))).otherwise(0.0)).alias(f"k{c}") for c in (0, 1)),
-    )
-    got = _fetch(contexts.where("n0 + n1 >= 3"), F.col("n0") + F.col("n1"), ["before"], MAX_WORDS)
-    order = np.argsort(got["before"].view(np.uint64))
-    model.contexts = got["before"].view(np.uint64)[order]
-    weight = [np.where(got[f"n{c}"] > 0, 1 - got[f"k{c}"] / np.maximum(got[f"n{c}"], 1), 1.0)[order] for c in (0, 1)]
-    weight = [np.maximum(w, 1e-3) for w in weight]
-    total = [got[f"n{c}"][order] for c in (0, 1)]
-    model.context_ratio = np.log(weight[1] / weight[0]).astype(np.float32)
-    pairs = _fetch(counted.where(kept), F.col("n0") + F.col("n1"), ["before", "word"], MAX_BIGRAMS)
-    before, word = pairs["before"].view(np.uint64), pairs["word"].view(np.uint64)
-    both = []
-    for c in (0, 1):
-        bow, known = _look(model.contexts, weight[c], before, 1.0)
-        n, _ = _look(model.contexts, total[c].astype(float), before, 0.0)
-        low, _ = _look(words, p[c], word, back[c] * float(shared.min()) if len(shared) else 1.0)
-        both.append(np.where(known & (n > 0), np.maximum(pairs[f"n{c}"] - d_upper[c], 0) / np.maximum(n, 1), 0) + bow * low)
-    keys = _pair(before, word)
-    order = np.argsort(keys)
-    model.bigrams, model.bigram_ratio = keys[order], np.log(both[1] / both[0])[order].astype(np.float32)
+    p = [F.greatest(F.col(f"c{c}") - d_lower[c], F.lit(0.0)) / max(lower[f"c{c}"], 1) + back[c] * F.col("shared") / total for c in (0, 1)]
+    words = of_word.join(shared, "word").select("word", p[0].alias("p0"), p[1].alias("p1"), (F.col("c0") + F.col("c1") < RARE).alias("rare"))
+    words = staged(words, folder, "word_terms")
+    model = Model(other_word=float(np.log(back[1] / back[0])))
+    model.words, model.word_ratio, model.word_rare = _fetch(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio"), "rare"), ["word"])
+
+    # Contexts and bigrams: bigrams are discounted, what is taken off a context goes to its words' lower order.
+    left = [F.greatest(F.col(f"n{c}") - d_upper[c], F.lit(0.0)) for c in (0, 1)]
+    contexts = counted.groupBy("before").agg(*(F.sum(f"n{c}").alias(f"t{c}") for c in (0, 1)), *(F.sum(left[c]).alias(f"k{c}") for c in (0, 1)))
+    weight = [F.when(F.col(f"t{c}") > 0, F.greatest(1 - F.col(f"k{c}") / F.col(f"t{c}"), F.lit(1e-3))).otherwise(1.0) for c in (0, 1)]
+    contexts = staged(contexts.select("before", "t0", "t1", weight[0].alias("w0"), weight[1].alias("w1")), folder, "context_terms")
+    ratio = F.log(F.col("w1") / F.col("w0")).alias("ratio")
+    model.contexts, model.context_ratio, _ = _fetch(contexts.select("before", ratio, F.lit(False).alias("rare")), ["before"])
+    both = [left[c] / F.greatest(F.col(f"t{c}"), F.lit(1)) + F.col(f"w{c}") * F.col(f"p{c}") for c in (0, 1)]
+    rare = (F.col("n0") + F.col("n1") < RARE).alias("rare")
+    bigrams = counted.join(words.drop("rare"), "word").join(contexts, "before").select("before", "word", F.log(both[1] / both[0]).alias("ratio"), rare)
+    model.bigrams, model.bigram_ratio, model.bigram_rare = _fetch(bigrams, ["before", "word"])
 
     # Score: logistic regression on texts that taught no counts, weighted to the classes' true shares.
     names = [f"f{k}" for k in range(N_FEATURES)]
