@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from .common import shared_folder, staged, table
+from .common import keep_first, rank, shared_folder, staged, table
 
 SHINGLE, SEED, TAU = 4, 42, 4
 BITS = 64
@@ -37,8 +38,8 @@ NO_ID = (1 << 63) - 1
 DIVIDE_BITS, DIVIDE_LEVELS = 12, 3
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fingerprint (64 bits as a long) of every whole text."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, key: str = "doc_id") -> DataFrame:
+    """``key`` and fingerprint (64 bits as a long) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -61,9 +62,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
                     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     votes += bits.sum(axis=0, dtype=np.int64)
                 values[k] = np.packbits(2 * votes > n, bitorder="little").view("<u8")[0]
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fingerprint": pa.array(values.view(np.int64))})
+            yield pa.record_batch({key: batch.column(key), "fingerprint": pa.array(values.view(np.int64))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    kept = docs.select(key, "text")
+    return kept.mapInArrow(run, StructType([kept.schema[key]]).add("fingerprint", LongType()))
 
 
 def _bit_statistics(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -253,16 +255,19 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         edges = staged(small.where("u <> v").distinct(), folder, f"edges{turn}")
 
 
+def _linked(nodes: DataFrame, folder: str, tau: int) -> DataFrame:
+    """Links (u, v) of ``nodes`` (fingerprint, node)."""
+    n, both = _bit_statistics(nodes)
+    return links(_divide(probes(nodes, allocate(n, both, tau)), folder, tau), tau)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tau: int = TAU) -> DataFrame:
     """doc_id, fingerprint (long), component_id of every row of ``docs`` (doc_id, text)."""
     spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
     prints = staged(fingerprints(docs, shingle), folder, "fingerprints")
     identity = F.coalesce("doc_id", F.lit(NO_ID))
     nodes = staged(prints.groupBy("fingerprint").agg(F.min(identity).alias("node")), folder, "nodes")
-    n, both = _bit_statistics(nodes)
-    plan = allocate(n, both, tau)
-    rows = _divide(probes(nodes, plan), folder, tau)
-    found = links(rows, tau)
+    found = _linked(nodes, folder, tau)
     # Rows of one doc_id are one document, whatever their fingerprints.
     repeated = prints.select(identity.alias("id"), "fingerprint").distinct().groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
     own = prints.select(identity.alias("u"), "fingerprint").join(repeated, F.col("u") == F.col("id"), "left_semi")
@@ -274,11 +279,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, tau: int = TAU) ->
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, tau: int = TAU) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest doc_id."""
-    found = near_duplicates(docs, shingle, tau)
-    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("other")).distinct()
-    kept = docs.join(others, docs["doc_id"].eqNullSafe(F.col("other")), "left_anti")
-    return kept.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component of fingerprints: the first by (doc_id with null last, text hash).
+
+    Only texts link here: rows of one doc_id, or of none, are not one document unless their fingerprints say so.
+    """
+    folder = shared_folder(docs.sparkSession)
+    prints = fingerprints(docs.select(rank(docs).alias("first"), "text"), shingle, key="first")
+    firsts = staged(prints.groupBy("fingerprint").agg(F.min("first").alias("first")), folder, "firsts")
+    roots = components(_linked(firsts.select("fingerprint", F.col("fingerprint").alias("node")), folder, tau), folder)
+    grouped = firsts.join(roots, F.col("fingerprint") == F.col("node"), "left")
+    return keep_first(docs, grouped.select(F.coalesce("root", "fingerprint").alias("component"), "first"))
 
 
 # ---------------------------------------------------------------- the query
