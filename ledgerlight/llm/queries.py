@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .chat import OP4_SQL, op4_prefix_targets
 from .decontaminate import op7_positional_index
+from .line_dedup import OP12_SQL, op12_line_bitmaps
 from .packing import op6_configuration_packing
+from .periodic_runs import op13_periodic_runs
 from .rules import op9_decision_list
 from .shards import op5_histogram_shards
 from .simhash import op10_pigeonhole_simhash
@@ -24,5 +26,7 @@ QUERIES = {
     "op8_overlap_counts": op8_overlap_counts,
     "op9_decision_list": op9_decision_list,
     "op10_pigeonhole_simhash": op10_pigeonhole_simhash,
+    "op12_line_bitmaps": op12_line_bitmaps,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES = {"op2_relative_lz": OP2_SQL, "op4_prefix_targets": OP4_SQL}
+ORACLES = {"op2_relative_lz": OP2_SQL, "op4_prefix_targets": OP4_SQL, "op12_line_bitmaps": OP12_SQL}
