@@ -14,6 +14,7 @@ from .substrings import OP2_SQL, op2_relative_lz
 from .token_counts import op8_overlap_counts
 from .token_file import op1_packed_tokens
 from .toxicity import op3_kneser_ney
+from .whitening import op11_cholesky_jacobi
 
 QUERIES = {
     "op1_packed_tokens": op1_packed_tokens,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_overlap_counts": op8_overlap_counts,
     "op9_decision_list": op9_decision_list,
     "op10_pigeonhole_simhash": op10_pigeonhole_simhash,
+    "op11_cholesky_jacobi": op11_cholesky_jacobi,
     "op12_line_bitmaps": op12_line_bitmaps,
     "op13_periodic_runs": op13_periodic_runs,
 }
