@@ -1,45 +1,37 @@
 """Load strategies on plain Parquet.
 
 A table lives under one folder, with one sub-folder per company where the table
-has companies. Each full load writes a new version next to the old one and
-readers take the newest version that Spark marked complete (``_SUCCESS``): a
-job that dies half-way leaves the table as it was, and no plan ever overwrites
-the files it reads. Facts are partitioned by month. Only the moving window works
-inside a version: there whole months are exchanged from a complete staged copy.
+has companies. Dimensions: each load writes a new version next to the old one and
+readers take the newest version that Spark marked complete (``_SUCCESS``). Facts
+are partitioned by month, visits by day; a load writes the partitions it touches
+and switches them all at once (``manifest``). Either way a job that dies half-way
+leaves the table as it was, and no plan ever overwrites the files it reads.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import Day, as_day, month_key
 from ..schemas import MONTH_PARTITION
+from . import manifest
+from .manifest import children
 
 _VERSION = re.compile(r"^v(\d{8})$")
 _COMPANY = re.compile(r"^empresa=(.+)$")
-_STAGES = "window_stages"
-_MOVED = "window_moved"
-_DAY_STAGE = "day_stage"
 _SAFE_CODE = re.compile(r"^[A-Za-z0-9_-]+$")
 
 
-def _children(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, on whatever file system it is (driver metadata only)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-
-
 def _versions(spark: SparkSession, folder: str, complete: bool) -> list[int]:
-    found = [int(m.group(1)) for m in map(_VERSION.match, _children(spark, folder)) if m]
+    found = [int(m.group(1)) for m in map(_VERSION.match, children(spark, folder)) if m]
     if complete:
-        found = [v for v in found if "_SUCCESS" in _children(spark, f"{folder}/v{v:08d}")]
+        found = [v for v in found if "_SUCCESS" in children(spark, f"{folder}/v{v:08d}")]
     return sorted(found)
 
 
@@ -57,12 +49,24 @@ def _current(spark: SparkSession, folder: str) -> str | None:
 
 
 def _has_companies(spark: SparkSession, path: str) -> bool:
-    return any(_COMPANY.match(c) for c in _children(spark, path))
+    return any(_COMPANY.match(c) for c in children(spark, path))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    companies = [c for c in _children(spark, path) if _COMPANY.match(c)]
-    return any(_current(spark, f) for f in [path, *(f"{path}/{c}" for c in companies)])
+    companies = [c for c in children(spark, path) if _COMPANY.match(c)]
+    folders = [path, *(f"{path}/{c}" for c in companies)]
+    return any(manifest.current(spark, f) or _current(spark, f) for f in folders)
+
+
+def _state(spark: SparkSession, folder: str, schema: T.StructType | None) -> DataFrame | None:
+    """The current rows of one folder; the frame stays with the files of this state."""
+    state = manifest.current(spark, folder)
+    if state is not None:
+        return manifest.read(spark, folder, state)
+    version = _current(spark, folder)
+    if version is None:
+        return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(version)
 
 
 def read_table(
@@ -73,29 +77,20 @@ def read_table(
     Give the ``schema`` of facts: a version without any row has no file to take it
     from. Facts come with the month they are partitioned by.
     """
-    reader = spark.read
     if schema is not None:
         stored = [f for f in schema.fields if f.name != "empresa"] if _has_companies(spark, path) else schema.fields
-        reader = reader.schema(T.StructType([*stored, T.StructField(MONTH_PARTITION, T.StringType())]))
-    companies = [m.group(1) for m in map(_COMPANY.match, _children(spark, path)) if m]
+        schema = T.StructType([*stored, T.StructField(MONTH_PARTITION, T.StringType())])
+    companies = [m.group(1) for m in map(_COMPANY.match, children(spark, path)) if m]
     if company is not None:
         companies = [c for c in companies if c == company]
-    if companies or company is not None:
-        frames = []
-        for code in sorted(companies):
-            version = _current(spark, f"{path}/empresa={code}")
-            if version:
-                frames.append(reader.parquet(version).withColumn("empresa", F.lit(code)))
-        if not frames:
-            raise FileNotFoundError(f"no complete version under {path}")
-        result = frames[0]
-        for frame in frames[1:]:
-            result = result.unionByName(frame)
-        return result
-    version = _current(spark, path)
-    if version is None:
+    if not companies and company is None:
+        frames = [_state(spark, path, schema)]
+    else:
+        states = ((code, _state(spark, f"{path}/empresa={code}", schema)) for code in sorted(companies))
+        frames = [state.withColumn("empresa", F.lit(code)) for code, state in states if state is not None]
+    if not frames or frames[0] is None:
         raise FileNotFoundError(f"no complete version under {path}")
-    return reader.parquet(version)
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -131,135 +126,211 @@ def with_month(df: DataFrame, date_column: str) -> DataFrame:
 
 def replace_fact(df: DataFrame, path: str, company: str, date_column: str) -> None:
     """All rows of a company in a fact become those in ``df``."""
-    replace_company(with_month(df, date_column), path, company, [MONTH_PARTITION])
+    rows = with_month(df.filter(F.col("empresa") == company).drop("empresa"), date_column)
+    load = manifest.Load(df.sparkSession, _company_folder(path, company))
+    load.write(rows, MONTH_PARTITION)
+    load.put(rows.schema, MONTH_PARTITION, kept=())
+    load.commit()
+
+
+# Gives the rows, on whatever day, that the source has for keys that have left the window.
+Refetch = Callable[[DataFrame], DataFrame]
 
 
 def replace_window(
-    df: DataFrame, path: str, company: str, date_column: str, cutoff: Day, key: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    company: str,
+    date_column: str,
+    cutoff: Day,
+    key: Sequence[str] = (),
+    refetch: Refetch | None = None,
 ) -> None:
     """All rows of a fact dated ``cutoff`` or later become those in ``df``.
 
-    With a ``key``, a row whose date has moved into the window leaves its old
-    place: stored rows before the cutoff with the key of a new row go, and the
-    months that held them are staged and exchanged like those of the window.
-
-    The months from the cutoff on are staged completely, the older rows of the
-    first month included, and then exchanged; earlier months are never touched
-    and months that the source no longer has are emptied. A stage that a failed
-    run left behind is exchanged first, so nothing is lost and running the load
-    again gives the same table.
+    ``df`` is read once: its rows are written to where they stay, and compared from there. With a ``key`` (nulls in it
+    are equal to each other), a row whose date has moved into the window leaves its old place, and so does one stored
+    without a date. With ``refetch`` too, the source is asked by key for what is no longer in the window: what has moved
+    to before the cutoff is stored there, what it does not have is gone. Months that none of this touches keep their
+    files. The months change in one switch: readers see the table before or after, and a load that dies changes nothing.
     """
     spark = df.sparkSession
     folder = _company_folder(path, company)
-    version = _current(spark, folder)
     since = as_day(cutoff)
-    rows = df.filter((F.col("empresa") == company) & (F.col(date_column) >= F.lit(since))).drop("empresa")
-    rows = with_month(rows, date_column)
-    if version is None:
-        _write_version(rows, folder, [MONTH_PARTITION])
-        return
-    _finish_windows(spark, folder, version, rows.schema)
-    stored = spark.read.schema(rows.schema).parquet(version)
-    name = f"{_name(version)}_{since.isoformat()}"
-    earlier = stored.filter(F.col(date_column) < F.lit(since))
-    months = set()
     key = [c for c in key if c != "empresa"]
+
+    def of_company(rows: DataFrame) -> DataFrame:
+        return with_month(rows.filter(F.col("empresa") == company).drop("empresa"), date_column)
+
+    load = manifest.Load(spark, folder)
+    stored = _stored(spark, folder, load)
+    before = F.col(date_column).isNull() | (F.col(date_column) < F.lit(since))
+    rows = of_company(df.filter(F.col(date_column) >= F.lit(since)))
+    landed = load.write(rows, MONTH_PARTITION)
+    if stored is None:
+        load.put(rows.schema, MONTH_PARTITION, kept=())
+        load.commit()
+        return
+    stored = stored.select(*rows.columns)
+    gone = landed
+    if key and refetch is not None:
+        lost = _by_key(stored.filter(~before).select(*key).distinct(), landed, key, "left_anti")
+        back = of_company(refetch(lost.withColumn("empresa", F.lit(company)))).select(*rows.columns)
+        # One read of the source for these as well.
+        held = load.write(back.filter(before), MONTH_PARTITION, _REFETCHED)
+        gone = landed.select(*key).unionByName(held.select(*key))
+    touched = {manifest.part_name(MONTH_PARTITION, month_key(since))}
+    earlier = stored.filter(before)
     if key:
-        new = rows.select(*key).distinct()
-        held = earlier.select(*key, MONTH_PARTITION).join(new, key, "left_semi")
-        months = {r[0] for r in held.select(MONTH_PARTITION).distinct().collect()}  # one for each month
-        listed = spark.createDataFrame([(m,) for m in sorted(months)], "mes string")
-        listed.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{_MOVED}/{name}")
-    kept = earlier.filter(F.col(MONTH_PARTITION).isin(sorted(months | {month_key(since)})))
-    if months:
-        kept = kept.join(new, key, "left_anti").select(*rows.columns)
-    _stage(kept.unionByName(rows), f"{folder}/{_STAGES}/{name}", MONTH_PARTITION)
-    _finish_windows(spark, folder, version, rows.schema)
-
-
-def _finish_windows(spark: SparkSession, folder: str, version: str, schema: T.StructType) -> None:
-    """Exchange every complete stage of this version, then drop it; others are dropped."""
-    for name in sorted(_children(spark, f"{folder}/{_STAGES}")):
-        stage = f"{folder}/{_STAGES}/{name}"
-        of_version, cutoff = name.split("_")
-        if of_version == _name(version) and "_SUCCESS" in _children(spark, stage):
-            staged = spark.read.schema(schema).parquet(stage)
-            stored = spark.read.schema(schema).parquet(version)
-            gone = _months(stored, cutoff) - _months(staged, cutoff)
-            if name in _children(spark, f"{folder}/{_MOVED}"):
-                moved = {r[0] for r in spark.read.parquet(f"{folder}/{_MOVED}/{name}").collect()}
-                gone |= moved - _months(staged, min(moved)) if moved else set()
-            _exchange(staged, version, MONTH_PARTITION)
-            nothing = spark.createDataFrame([], schema).drop(MONTH_PARTITION)
-            for month in sorted(gone):
-                nothing.write.mode("overwrite").parquet(f"{version}/{MONTH_PARTITION}={month}")
-        _delete(spark, stage)
-
-
-def _name(folder: str) -> str:
-    return folder.rsplit("/", 1)[-1]
-
-
-def _months(df: DataFrame, cutoff: str) -> set[str]:
-    """Months present from that of ``cutoff`` (a day or month) on: partition values, one per month."""
-    month = F.col(MONTH_PARTITION)
-    return {r[0] for r in df.filter(month >= cutoff[:7]).select(month).distinct().collect()}
-
-
-def _stage(rows: DataFrame, stage: str, partition: str) -> None:
-    """Write rows out once, complete, before anything stored is exchanged."""
-    _balanced(rows, [partition]).write.mode("overwrite").partitionBy(partition).parquet(stage)
-
-
-def _exchange(staged: DataFrame, version: str, partition: str) -> None:
-    (
-        _balanced(staged, [partition])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(version)
-    )
+        moved = _by_key(earlier.select(*key, MONTH_PARTITION), gone, key, "left_semi")
+        months = [r[0] for r in moved.select(MONTH_PARTITION).distinct().collect()]  # one for each month
+        touched |= {manifest.part_name(MONTH_PARTITION, month) for month in months}
+        touched |= set(load.written(_REFETCHED)) if refetch is not None else set()
+    kept = _of_parts(earlier, touched)
+    if key:
+        kept = _by_key(kept, gone, key, "left_anti")
+    load.write(kept.select(*rows.columns), MONTH_PARTITION)
+    if key and refetch is not None:
+        load.write(held, MONTH_PARTITION)
+    first = manifest.part_name(MONTH_PARTITION, month_key(since))
+    older = _older_parts(spark, folder, load, first)
+    load.put(rows.schema, MONTH_PARTITION, kept=older - touched)
+    load.commit()
+
+
+_REFETCHED = "refetched"
+
+
+def _by_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on equal keys, null equal to null."""
+    names = [f"_key_{n}" for n in range(len(key))]
+    other = right.select(*(F.col(c).alias(n) for c, n in zip(key, names)))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key, names)))
+    return left.join(other, same, how)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def _of_parts(rows: DataFrame, parts: set[str]) -> DataFrame:
+    months = sorted(p.split("=", 1)[1] for p in parts)
+    named = F.col(MONTH_PARTITION).isin([m for m in months if m != manifest.NULL_VALUE])
+    return rows.filter(named | F.col(MONTH_PARTITION).isNull() if manifest.NULL_VALUE in months else named)
 
 
-def upsert_days(df: DataFrame, path: str, key: Sequence[str], date_column: str) -> None:
-    """Upsert into a table partitioned by day, rewriting only the days that ``df`` touches.
+def _stored(spark: SparkSession, folder: str, load: manifest.Load) -> DataFrame | None:
+    """The rows a load finds: as of its manifest, or of the version that an earlier release has written."""
+    if load.before.sets:
+        return manifest.read(spark, folder, load.before)
+    version = _current(spark, folder)
+    return spark.read.parquet(version) if version else None
+
+
+def _older_parts(spark: SparkSession, folder: str, load: manifest.Load, first: str) -> set[str]:
+    """Partition folders before ``first``, and that of rows without a date. Those of an older release's version are copied."""
+    null = manifest.part_name(MONTH_PARTITION, None)
+    if not load.before.sets and (version := _current(spark, folder)):
+        stored = spark.read.parquet(version)
+        months = {manifest.part_name(MONTH_PARTITION, r[0]) for r in stored.select(MONTH_PARTITION).distinct().collect()}
+        older = {p for p in months if p < first or p == null} - set(load.written())
+        load.write(_of_parts(stored, older), MONTH_PARTITION)
+        return set()
+    return {p for p in load.before.parts() if p < first or p == null}
+
+
+# ------------------------------------------------------------- tables by day, with a key index
+
+INDEX, COUNTS = "index", "counts"
+INDEX_BUCKETS = 64
+_BUCKET = "balde"
+
+
+def upsert_days(
+    df: DataFrame,
+    path: str,
+    key: Sequence[str],
+    date_column: str,
+    order_by: str | None = None,
+    counted: Sequence[str] = (),
+    buckets: int = INDEX_BUCKETS,
+) -> None:
+    """Upsert into a table partitioned by day, on whatever day a key was before.
 
-    For events, whose day is part of what they are: a key stays on its day. The
-    touched days come from a stream that delivers its batch again after a failure.
+    An index in buckets by hash of the key tells the day of every key. Only the buckets of the new rows' keys are read
+    and written again, and only the days that rows come to or leave. Among new rows of one key the last by ``order_by``
+    counts. ``counted`` keeps, in the same switch, the number of rows by day and these columns (``read_day_counts``): a row
+    that moves is taken off its old day.
     """
     spark = df.sparkSession
-    version = _current(spark, path)
-    if version is None:
-        _write_version(latest_per_key(df, key), path, [date_column])
-        return
-    _finish_days(spark, path, version, df.schema, date_column)
-    stored = spark.read.schema(df.schema).parquet(version)
-    # Days only, so the list is short and prunes the stored partitions.
-    days = [r[0] for r in df.select(date_column).distinct().collect()]
-    merged = upsert(stored.filter(F.col(date_column).isin(days)), df, key)
-    _stage(merged, f"{path}/{_DAY_STAGE}", date_column)
-    _finish_days(spark, path, version, df.schema, date_column)
+    load = manifest.Load(spark, path)
+    stored = _stored(spark, path, load)
+    first = not load.before.sets
+    schema = df.schema
+
+    def bucket(frame: DataFrame) -> DataFrame:
+        return frame.select(*key, date_column, bucket_of(key, buckets).alias(_BUCKET))
+
+    fresh = latest_per_key(df, key, order_by)
+    landed = load.write(fresh.withColumn(_BUCKET, bucket_of(key, buckets)), _BUCKET, _LANDED)
+    if stored is None:
+        load.write(landed.select(*df.columns), date_column)
+        load.write(bucket(landed), _BUCKET, INDEX)
+        kept_days, kept_buckets = set(), set()
+    else:
+        index = bucket(stored) if first else manifest.read(
+            spark, path, load.before, INDEX, [manifest.part_name(_BUCKET, b) for b in _values(load.written(_LANDED))]
+        )
+        known = _by_key(index, landed, key, "left_semi")
+        # Days only, so the list is short.
+        days = {r[0] for r in landed.select(date_column).unionByName(known.select(date_column)).distinct().collect()}
+        touched = {manifest.part_name(date_column, d) for d in days}
+        rows = stored if first else manifest.read(spark, path, load.before, parts=touched)
+        old = _by_key(rows, landed, key, "left_anti").select(*df.columns)
+        load.write(old.unionByName(landed.select(*df.columns)), date_column)
+        unchanged = _by_key(index, landed, key, "left_anti")
+        load.write(unchanged.unionByName(bucket(landed).select(*index.columns)), _BUCKET, INDEX)
+        kept_days = set() if first else set(load.before.parts()) - touched
+        kept_buckets = set(load.before.parts(INDEX)) - set(load.written(_LANDED))
+    load.put(schema, date_column, kept_days)
+    load.put(bucket(df).schema, _BUCKET, kept_buckets, INDEX)
+    if counted:
+        now = manifest._read(spark, path, manifest.ROWS, _ordered(schema, date_column), load.written())
+        counts = now.groupBy(date_column, *counted).agg(F.count(F.lit(1)).alias("linhas"))
+        load.write(counts, date_column, COUNTS)
+        load.put(counts.schema, date_column, kept_days, COUNTS)
+    load.commit()
+
+
+_LANDED = "landed"
+
+
+def bucket_of(key: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def _values(parts: dict[str, str]) -> list[str]:
+    return [p.split("=", 1)[1] for p in parts]
+
+
+def _ordered(schema: T.StructType, last: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != last] + [schema[last]])
 
 
-def _finish_days(spark: SparkSession, path: str, version: str, schema: T.StructType, date_column: str) -> None:
-    """Exchange a complete stage, also one that a failed run left, then drop it."""
-    stage = f"{path}/{_DAY_STAGE}"
-    if "_SUCCESS" in _children(spark, stage):
-        _exchange(spark.read.schema(schema).parquet(stage), version, date_column)
-    _delete(spark, stage)
+def read_day_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows by day and the columns that ``upsert_days`` counts by, of every day."""
+    state = manifest.current(spark, path)
+    if state is None or COUNTS not in state.sets:
+        raise FileNotFoundError(f"no counts under {path}")
+    return manifest.read(spark, path, state, COUNTS)
 
 
 def drop_old_versions(spark: SparkSession, path: str, company: str | None = None, keep: int = 2) -> None:
-    """Delete all but the newest ``keep`` complete versions of a table."""
+    """Delete all but the newest ``keep`` complete states of a table."""
     folder = _company_folder(path, company)
     done = _versions(spark, folder, complete=True)
-    for number in done[: max(len(done) - keep, 0)]:
-        _delete(spark, f"{folder}/v{number:08d}")
+    switched = manifest.current(spark, folder) is not None
+    # Versions of an earlier release go once the table has as many states as are kept.
+    spared = max(keep - manifest.state_count(spark, folder), 0) if switched else keep
+    for number in done[: max(len(done) - spared, 0)]:
+        manifest.delete(spark, f"{folder}/v{number:08d}")
+    manifest.drop_unnamed(spark, folder, keep)
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order_by: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
-from ledgerlight.sinks import field_app, run_log
+from ledgerlight.sinks import field_app, manifest, run_log
 from ledgerlight.sinks import tables as sinks
 from tests.conftest import rows
 
@@ -73,32 +73,115 @@ def test_replace_window(spark, folder):
     assert rows(sinks.read_table(spark, path, schema=first.schema), "k") == [("a",), ("b",)]
 
 
-def test_window_that_failed_while_exchanging_is_finished_first(spark, folder, monkeypatch):
+def fail_before_the_switch(monkeypatch):
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(manifest, "commit", die)
+
+
+def test_window_that_dies_before_the_switch_changes_nothing(spark, folder, monkeypatch):
     path = f"{folder}/t"
     first = dated(spark, ("a", 1, 5, 1), ("b", 1, 5, 9), ("c", 1, 6, 1))
     sinks.replace_fact(first, path, "c1", "dia")
-
-    def lose_the_month(staged, version, partition):
-        sinks._delete(spark, f"{version}/{partition}=2024-05")
-        raise RuntimeError("lost")
-
     with monkeypatch.context() as broken:
-        broken.setattr(sinks, "_exchange", lose_the_month)
+        fail_before_the_switch(broken)
         with pytest.raises(RuntimeError):
             sinks.replace_window(dated(spark, ("b", 2, 5, 9)), path, "c1", "dia", "2024-05-05")
-    # The older row of the month was gone; the next load, of a later window, brings it back.
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 1), ("c", 1)]
     sinks.replace_window(dated(spark, ("d", 3, 6, 3)), path, "c1", "dia", "2024-06-02")
-    assert rows(sinks.read_table(spark, path, schema=first.schema), "k", "v") == [("a", 1), ("b", 2), ("d", 3)]
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 1), ("c", 1), ("d", 3)]
+    # What the dead load has written goes with the old states.
+    data = f"{path}/empresa=c1/data/rows"
+    assert len(manifest.children(spark, data)) == 3
+    sinks.drop_old_versions(spark, path, "c1", keep=1)
+    assert len(manifest.children(spark, data)) == 2 and len(manifest.children(spark, f"{path}/empresa=c1/manifests")) == 1
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 1), ("c", 1), ("d", 3)]
 
 
-def test_stage_of_an_older_version_is_ignored(spark, folder):
+def test_a_reader_keeps_the_state_it_has_read(spark, folder):
+    path = f"{folder}/t"
+    sinks.replace_fact(dated(spark, ("a", 1, 4, 1), ("b", 1, 5, 1), ("c", 1, 6, 1)), path, "c1", "dia")
+    reader = sinks.read_table(spark, path)
+    sinks.replace_window(dated(spark, ("d", 2, 5, 9)), path, "c1", "dia", "2024-05-01")
+    sinks.drop_old_versions(spark, path, "c1", keep=2)
+    assert rows(reader, "k") == [("a",), ("b",), ("c",)]
+    assert rows(sinks.read_table(spark, path), "k") == [("a",), ("d",)]
+    # The month that nothing touched is the same file in both states.
+    files = [{f for f in df.inputFiles() if "2024-04" in f} for df in (reader, sinks.read_table(spark, path))]
+    assert files[0] == files[1] and files[0]
+
+
+def test_two_loads_at_once_do_not_mix(spark, folder):
+    path = f"{folder}/t"
+    sinks.replace_fact(dated(spark, ("a", 1, 5, 1)), path, "c1", "dia")
+    slow = manifest.Load(spark, f"{path}/empresa=c1")
+    month = sinks.with_month(dated(spark, ("slow", 1, 5, 1)).drop("empresa"), "dia")
+    slow.write(month, schemas.MONTH_PARTITION)
+    slow.put(month.schema, schemas.MONTH_PARTITION, ())
+    sinks.replace_window(dated(spark, ("b", 1, 6, 1)), path, "c1", "dia", "2024-06-01")
+    with pytest.raises(manifest.ConcurrentLoad):
+        slow.commit()
+    assert rows(sinks.read_table(spark, path), "k") == [("a",), ("b",)]
+
+
+def test_null_in_a_key_moves_like_any_other(spark, folder):
     path = f"{folder}/t"
-    sinks.replace_fact(dated(spark, ("a", 1, 5, 9)), path, "c1", "dia")
-    stage = f"{path}/empresa=c1/{sinks._STAGES}/v00000001_2024-05-01"
-    sinks._stage(sinks.with_month(dated(spark, ("old", 0, 5, 9)).drop("empresa"), "dia"), stage, schemas.MONTH_PARTITION)
-    sinks.replace_fact(dated(spark, ("b", 1, 5, 9)), path, "c1", "dia")
-    sinks.replace_window(dated(spark, ("c", 1, 6, 1)), path, "c1", "dia", "2024-06-01")
-    assert rows(sinks.read_table(spark, path), "k") == [("b",), ("c",)]
+    spec = "empresa string, k string, n int, dia date"
+    first = spark.createDataFrame([("c1", "a", None, day(1)), ("c1", "a", 1, day(1)), ("c1", "b", None, None)], spec)
+    sinks.replace_fact(first, path, "c1", "dia")
+    moved = spark.createDataFrame([("c1", "a", None, day(20)), ("c1", "b", None, day(21))], spec)
+    sinks.replace_window(moved, path, "c1", "dia", day(15), ["k", "n"])
+    assert rows(sinks.read_table(spark, path), "k", "n", "dia") == [("a", 1, day(1)), ("a", None, day(20)), ("b", None, day(21))]
+
+
+def test_the_source_is_read_once(spark, folder):
+    path = f"{folder}/t"
+    read = spark.sparkContext.accumulator(0)
+    first = dated(spark, ("a", 1, 4, 2), ("b", 1, 5, 2), ("c", 1, 5, 20))
+    sinks.replace_fact(first, path, "c1", "dia")
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = dated(spark, ("a", 2, 5, 18), ("c", 2, 5, 20), ("d", 2, 5, 21)).mapInArrow(seen, first.schema)
+    sinks.replace_window(source, path, "c1", "dia", "2024-05-15", ["k"])
+    assert read.value == 3
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 2), ("b", 1), ("c", 2), ("d", 2)]
+
+
+def test_rows_that_left_the_window_are_fetched_again(spark, folder):
+    path = f"{folder}/t"
+    sinks.replace_fact(dated(spark, ("a", 1, 4, 2), ("b", 1, 5, 20), ("c", 1, 5, 20), ("d", 1, 5, 21), ("e", 1, 5, 22)), path, "c1", "dia")
+    # At the source b went to March, c to the window's own month, d is gone.
+    source = dated(spark, ("a", 1, 4, 2), ("b", 2, 3, 9), ("c", 2, 5, 3), ("e", 2, 5, 22))
+    asked = []
+
+    def refetch(keys):
+        asked.extend(rows(keys, "k"))
+        return source.join(keys, ["empresa", "k"], "left_semi")
+
+    for _ in range(2):
+        sinks.replace_window(source, path, "c1", "dia", "2024-05-15", ["k"], refetch)
+        assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 2), ("c", 2), ("e", 2)]
+    assert asked == [("b",), ("c",), ("d",)]
+
+
+def test_tables_of_an_earlier_release_are_taken_over(spark, folder):
+    path = f"{folder}/t"
+    old = sinks.with_month(dated(spark, ("a", 1, 3, 1), ("b", 1, 5, 1), ("c", 1, 5, 20)), "dia")
+    sinks.replace_company(old, path, "c1", [schemas.MONTH_PARTITION])
+    assert rows(sinks.read_table(spark, path), "k") == [("a",), ("b",), ("c",)]
+    sinks.replace_window(dated(spark, ("d", 2, 5, 21)), path, "c1", "dia", "2024-05-15", ["k"])
+    assert rows(sinks.read_table(spark, path), "k") == [("a",), ("b",), ("d",)]
+    sinks.drop_old_versions(spark, path, "c1", keep=1)
+    assert rows(sinks.read_table(spark, path), "k") == [("a",), ("b",), ("d",)]
+    visits = f"{folder}/v"
+    sinks.replace_table(frame(spark, ("a", 1, 1), ("b", 1, 2)), visits, ["dia"])
+    sinks.upsert_days(frame(spark, ("a", 2, 3)), visits, ["k"], "dia")
+    assert rows(sinks.read_table(spark, visits), "k", "v", "dia") == [("a", 2, day(3)), ("b", 1, day(2))]
 
 
 def test_window_that_failed_while_staging_leaves_the_table(spark, folder):
@@ -143,18 +226,34 @@ def test_rows_without_a_date_survive_a_window(spark, folder):
 def test_interrupted_day_upsert_loses_nothing(spark, folder, monkeypatch):
     path = f"{folder}/t"
     sinks.upsert_days(frame(spark, ("a", 1, 1), ("b", 1, 1), ("c", 1, 2)), path, ["k"], "dia")
-
-    def lose_the_day(staged, version, partition):
-        sinks._delete(spark, f"{version}/{partition}=2024-05-01")
-        raise RuntimeError("lost")
-
     batch = frame(spark, ("b", 2, 1), ("d", 1, 1))
     with monkeypatch.context() as broken:
-        broken.setattr(sinks, "_exchange", lose_the_day)
+        fail_before_the_switch(broken)
         with pytest.raises(RuntimeError):
             sinks.upsert_days(batch, path, ["k"], "dia")
-    sinks.upsert_days(batch, path, ["k"], "dia")
-    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 2), ("c", 1), ("d", 1)]
+    assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 1), ("c", 1)]
+    for _ in range(2):
+        sinks.upsert_days(batch, path, ["k"], "dia")
+        assert rows(sinks.read_table(spark, path), "k", "v") == [("a", 1), ("b", 2), ("c", 1), ("d", 1)]
+
+
+def test_a_row_that_changes_its_day_is_kept_once(spark, folder):
+    path = f"{folder}/t"
+    sinks.upsert_days(frame(spark, *[(f"k{n}", n, 1 + n % 5) for n in range(40)]), path, ["k"], "dia", counted=["empresa"], buckets=8)
+    untouched = {f for f in sinks.read_table(spark, path).inputFiles() if "2024-05-03" in f}
+    # k0 moves to a later day and k6 to an earlier one; of two rows for k1 the one with the greater v counts.
+    batch = frame(spark, ("k0", 100, 9), ("k6", 101, 1), ("k1", 102, 5), ("k1", 103, 4), ("new", 1, 2))
+    for _ in range(2):
+        sinks.upsert_days(batch, path, ["k"], "dia", "v", counted=["empresa"], buckets=8)
+        moved = {"k0": (100, 9), "k6": (101, 1), "k1": (103, 4), "new": (1, 2)}
+        expected = {f"k{n}": (n, 1 + n % 5) for n in range(40)} | moved
+        stored = sinks.read_table(spark, path)
+        assert rows(stored, "k", "v", "dia") == sorted((k, v, day(d)) for k, (v, d) in expected.items())
+        counts = {}
+        for _, d in expected.values():
+            counts[day(d)] = counts.get(day(d), 0) + 1
+        assert rows(sinks.read_day_counts(spark, path), "dia", "linhas") == sorted(counts.items(), key=repr)
+    assert {f for f in stored.inputFiles() if "2024-05-03" in f} == untouched
 
 
 def test_upserts(spark):
