@@ -105,7 +105,8 @@ def with_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     found = bitmaps.select(F.col("row").alias(names["row"]), F.col("n_dropped").alias("lost"), F.col("keep").alias("kept_bits"))
     lost, bits = prefixed(docs, list(names.values()), "lost"), prefixed(docs, list(names.values()), "kept_bits")
     found = found.withColumnsRenamed({"lost": lost, "kept_bits": bits})
-    joined = keyed.join(found, names["row"], "left")
+    # The same join at every size: bitmaps grow with the documents, so they are not broadcast where they happen to be few.
+    joined = keyed.join(found.hint("merge"), names["row"], "left")
     return joined.select(
         *(F.col(f"`{c}`") for c in docs.columns),
         F.size(split_lines(F.col("text"))).cast("long").alias(names["n_lines"]),
