@@ -37,7 +37,7 @@ def _new_folder(t, name: str) -> str:
 def _sales_board(t):
     marts = SalesMarts(
         t.sales, t.customers, t.sellers, t.products, t.goals, t.users, t.visits, t.agenda, t.campaigns,
-        t.tagged_sales, t.registered,
+        t.tagged_sales, t.registered, t.rollups, t.campaign_days,
     )
     return sales_board(marts, START, END, AS_OF)
 
@@ -125,9 +125,70 @@ def _(t):
     return board_lines(_orders_board(t))
 
 
-@query("dashboard_document", "documento:s")
+# Every block of the document: its path, whether it is a list, the view that holds it, its fields, and how a list is ordered.
+_BY_REVENUE = "faturamento desc nulls last"
+_DOCUMENT_BLOCKS = {
+    "anterior": ("before", "faturamento_total caixas_total clientes_positivados", None),
+    "resumo": (
+        f"(select *, {', '.join(f'{expr} as {name}' for name, expr in _RATIOS.items())} from summary)",
+        "faturamento_total devolucoes caixas_total caixas_bonificadas pedidos notas clientes_positivados " + " ".join(_RATIOS), None,
+    ),
+    "carteira": ("portfolio", "total ativos inativos nunca_compraram pct_ativos pct_positivacao limite_credito_total suspensos limite_suspenso", None),
+    "esfriando": (
+        "(select * from recency where dias_sem_compra between 31 and 90 order by faturamento_6m desc, cod_cliente limit 10)",
+        "cod_cliente nome cod_vendedor dias_sem_compra faturamento_6m", "faturamento_6m desc, cod_cliente",
+    ),
+    "por_canal": ("channels", "canal qtd pct faturamento caixas", f"{_BY_REVENUE}, canal"),
+    "por_vendedor": ("seller_totals", "cod_vendedor nome faturamento caixas positivados pedidos", f"{_BY_REVENUE}, cod_vendedor nulls first"),
+    "por_familia": ("family_totals", "familia faturamento caixas pdvs", f"{_BY_REVENUE}, familia"),
+    "por_dia": ("day_totals", "dia faturamento caixas", "dia"),
+    "por_campanha": ("campaign_totals", "nome data_inicio data_fim mecanica faturamento caixas", f"{_BY_REVENUE}, nome"),
+    "cadastros": ("registration_counts", "cod_vendedor qtd", "cod_vendedor"),
+    "metas": (
+        "goal_actuals",
+        "cod_vendedor nome meta_visitas meta_positivados meta_cadastros meta_faturamento meta_caixas fase real_visitas real_positivados "
+        "real_cadastros real_faturamento real_caixas",
+        "cod_vendedor",
+    ),
+    "visitas": ("visit_totals", "checkins realizadas agendadas pendentes", None),
+    "pedidos.carteira_aberta": ("backlog", "valor caixas pedidos itens", None),
+    "pedidos.fill_rate": ("filled", "caixas_faturadas caixas_cortadas valor_cortado pct", None),
+    "pedidos.corte_por_motivo": ("reasons", "motivo caixas valor", "caixas desc nulls last, motivo"),
+    "pedidos.carteira_por_vendedor": ("seller_backlog", "cod_vendedor nome valor caixas pedidos", "valor desc nulls last, cod_vendedor nulls first"),
+}
+_DOCUMENT_TOP = {
+    "dados_ate": "(select strftime(max(carregado_em), '%Y-%m-%dT%H:%M:%S.000Z') from sales)",
+    "faturamento_hoje": "(select faturamento_hoje from today)", "caixas_hoje": "(select caixas_hoje from today)",
+}
+
+
+def _document_sql() -> str:
+    """A row for each field of each item, at its place in its list."""
+    parts = []
+    for path, (view, fields, order) in _DOCUMENT_BLOCKS.items():
+        place = f"row_number() over (order by {order}) - 1" if order else "0"
+        pairs = ", ".join(f"{{'campo': '{f}', 'valor': cast({f} as varchar)}}" for f in fields.split())
+        parts.append(f"select '{path}' as caminho, posicao, unnest(pares, recursive := true) from (select {place} as posicao, [{pairs}] as pares from {view})")
+    parts += [f"select '', 0, '{name}', cast({sql} as varchar)" for name, sql in _DOCUMENT_TOP.items()]
+    union = "\nunion all ".join(parts)
+    return f"select caminho, posicao, campo, if(n is null, valor, null) as texto, n as numero from (select *, try_cast(valor as double) as n from ({union}))"
+
+
+@query("dashboard_document", "caminho:s posicao:i campo:s texto:s numero:d", _document_sql())
 def _(t):
-    return board_document({**_sales_board(t), **_orders_board(t)})
+    """The document taken apart: each field of each item, with the item's place in its list."""
+    document = board_document({**_sales_board(t), **_orders_board(t)})
+    blocks = []
+    for path, (_, _, order) in _DOCUMENT_BLOCKS.items():
+        text = F.get_json_object("documento", f"$.{path}")
+        blocks.append((path, text if order else F.concat(F.lit("["), text, F.lit("]"))))
+    top = F.to_json(F.array(F.struct(*(F.get_json_object("documento", f"$.{n}").alias(n) for n in _DOCUMENT_TOP))))
+    blocks.append(("", top))
+    listed = F.array(*(F.struct(F.lit(p).alias("caminho"), F.from_json(x, "array<map<string,string>>").alias("itens")) for p, x in blocks))
+    items = document.select(F.inline(listed)).select("caminho", F.posexplode("itens").alias("posicao", "item"))
+    fields = items.select("caminho", "posicao", F.explode("item").alias("campo", "valor"))
+    number = F.col("valor").try_cast("double")
+    return fields.select("caminho", "posicao", "campo", F.when(number.isNull(), F.col("valor")).alias("texto"), number.alias("numero"))
 
 
 _DOCUMENT_VALUES = {
@@ -389,11 +450,24 @@ def _landed_visits(t, folder: str) -> str:
 @query(
     "visits_stream_daily",
     "dia:s cod_vendedor:s visitas:i",
+    "select dia_local as dia, cod_vendedor, count(*) as visitas from visits group by all",
+)
+def _(t):
+    folder = _new_folder(t, "visits_stream_daily")
+    stream = visit_stream.read_visit_stream(t.spark, _landed_visits(t, folder), "parquet", files_per_batch=4)
+    visit_stream.store_visits(stream, f"{folder}/visits", f"{folder}/checkpoint").awaitTermination()
+    return visit_stream.visits_by_day(t.spark, f"{folder}/visits")
+
+
+@query(
+    "visits_stream_closed_days",
+    "dia:s cod_vendedor:s visitas:i",
+    # By contract of this form, days are given out once: when the latest visit is seven days ahead.
     """select dia_local as dia, cod_vendedor, count(*) as visitas from visits
        where dia_local + 1 <= (select max(hora_local) from visits) - interval 7 day group by all""",
 )
 def _(t):
-    folder = _new_folder(t, "visits_stream_daily")
+    folder = _new_folder(t, "visits_stream_closed_days")
     stream = visit_stream.read_visit_stream(t.spark, _landed_visits(t, folder), "parquet")
     counts = visit_stream.daily_counts(stream)
     visit_stream.write_daily_counts(counts, f"{folder}/counts", f"{folder}/checkpoint").awaitTermination()

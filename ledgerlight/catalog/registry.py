@@ -21,6 +21,8 @@ class Query:
     build: Callable[[Tables], DataFrame]
     columns: dict[str, str]
     oracle: str | None
+    # Views of which the oracle sees some rows only, with the condition.
+    only: dict[str, str] | None = None
 
     def run(self, tables: Tables) -> DataFrame:
         df = self.build(tables)
@@ -30,7 +32,7 @@ class Query:
         if self.oracle is None:
             return None
         cast = ", ".join(f"cast({c} as {_SQL_TYPES[t]}) as {c}" for c, t in self.columns.items())
-        return compose(f"select {cast} from ({self.oracle.strip()}) result")
+        return compose(f"select {cast} from ({self.oracle.strip()}) result", self.only)
 
 
 QUERIES: dict[str, Query] = {}
@@ -44,14 +46,14 @@ def tables_of(spark: SparkSession, folder: str) -> Tables:
     return _tables[key]
 
 
-def query(name: str, columns: str, oracle: str | None = None):
+def query(name: str, columns: str, oracle: str | None = None, only: dict[str, str] | None = None):
     """Register a query; ``columns`` is like ``"canal:s qtd:i faturamento:d"``."""
     spec = dict(item.split(":") for item in columns.split())
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = Query(build, spec, oracle)
+        QUERIES[name] = Query(build, spec, oracle, only)
         return build
 
     return register

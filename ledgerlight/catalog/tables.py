@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import local_day
 from ..operators import marts
-from ..schemas import LOCAL_ZONE
-from .stage import staged
+from ..operators.rollups import SalesRollups, campaign_days
+from ..schemas import LOCAL_ZONE, MONTH_PARTITION
+from ..sinks.manifest import part_name
+from ..sinks.rollups import monthly_sales, rollups_in, store_rollups
+from .stage import shared_folder, staged
 
 COMPANY = "c1"
 START, END, AS_OF = dt.date(1998, 1, 1), dt.date(1998, 1, 31), dt.date(1998, 1, 31)
@@ -266,6 +270,22 @@ class Tables:
     def sales(self) -> DataFrame:
         return staged(self.spark, self.folder, "sales", self.build_sales(), "data_emissao")
 
+    @cached_property
+    def rollups(self) -> SalesRollups:
+        """The rollups of the sales, stored next to them."""
+        folder = shared_folder(self.spark)
+        if folder is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = f"{folder}/rollups-{uuid.uuid4().hex[:12]}"
+        months = [r[0] for r in self.sales.select(MONTH_PARTITION).distinct().collect()]  # one for each month
+        source = {part_name(MONTH_PARTITION, month): "1" for month in months}
+        store_rollups(self.spark, monthly_sales(self.sales.drop("empresa")), source, path)
+        return rollups_in(self.spark, path, COMPANY)
+
+    @cached_property
+    def campaign_days(self) -> DataFrame:
+        return staged(self.spark, self.folder, "campaign_days", campaign_days(self.tagged_sales))
+
     @cached_property
     def order_export(self) -> DataFrame:
         """Order items as the order export would hold them."""

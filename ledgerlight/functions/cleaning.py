@@ -62,6 +62,13 @@ def parse_date_br(c: Column | str) -> Column:
     return F.when(text.rlike(_DATE_SHAPE), iso).try_cast("date")
 
 
+def unread(text: Column | str, converted: Column, kind: str) -> Column:
+    """Does a text say something that its conversion has lost? Blanks, and texts that mean "no date", say nothing."""
+    said = blank_to_null(text)
+    meant = said.isNotNull() & ~said.isin(NO_DATE_TEXTS) if kind == "date" else said.isNotNull()
+    return F.coalesce(meant, F.lit(False)) & converted.isNull()
+
+
 def decode_trim(c: Column | str) -> Column:
     """Latin-1 bytes to stripped text."""
     return strip(F.decode(_col(c), "ISO-8859-1"))

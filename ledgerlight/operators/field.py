@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import digits_only, is_tax_id, state_code
 from ..functions.periods import Day, month_key
 from ..schemas import MONEY
-from .filters import for_seller, local_period
+from .filters import for_listed, for_seller, local_period
 
 VISITS_SHOWN = 200
 PILOT_MEASURES = ["pedidos_itens", "pedidos_valor", "cadastros", "checkins"]
@@ -19,14 +19,15 @@ def recent_visits(
     start: Day | None = None,
     end: Day | None = None,
     seller: str | None = None,
-    size: int = VISITS_SHOWN,
+    size: int | None = VISITS_SHOWN,
 ) -> DataFrame:
-    return (
+    """The newest visits first; all of them where ``size`` is ``None``."""
+    listed = (
         for_seller(local_period(visits, "timestamp", start, end), seller)
         .select("id", "cod_cliente", "nome_cliente", "cod_vendedor", "status_visita", "observacao", "timestamp")
         .orderBy(F.desc_nulls_last("timestamp"), "id")
-        .limit(size)
     )
+    return listed if size is None else listed.limit(size)
 
 
 def month_goals(goals: DataFrame, day: Day, seller: str | None = None) -> DataFrame:
@@ -55,22 +56,27 @@ def pilot_comparison(
     """Listed sellers side by side, zeros where a seller has nothing.
 
     ``pilot`` names the sellers (cod_rep, nome, cod_vendedor_crm): the field app
-    knows them under another code. Order rows carry the rep's short name, so they
-    are added up by that name before the reps are joined.
+    knows them under another code. Rows of sellers that are not listed go before
+    anything is grouped. Order rows carry the rep's short name, so they are added up
+    by that name before the reps are joined.
     """
-    per_name = order_items.groupBy("representante").agg(
-        F.count(F.lit(1)).alias("itens"), F.sum("valor_total_venda").alias("valor")
-    )
     listed_reps = reps.join(pilot.select("cod_rep"), "cod_rep", "left_semi").select(
         "cod_rep", F.col("nome_abrev").alias("representante")
     )
+    crm_codes = pilot.select(F.col("cod_vendedor_crm").alias("cod_vendedor"))
+    per_name = (
+        for_listed(order_items, "representante", listed_reps)
+        .groupBy("representante")
+        .agg(F.count(F.lit(1)).alias("itens"), F.sum("valor_total_venda").alias("valor"))
+    )
     ordered = (
         listed_reps.join(per_name, "representante")
         .groupBy("cod_rep")
         .agg(F.sum("itens").alias("pedidos_itens"), F.sum("valor").alias("pedidos_valor"))
     )
-    registered = registrations.groupBy("cod_rep").agg(F.count(F.lit(1)).alias("cadastros"))
-    visited = visits.groupBy(F.col("cod_vendedor").alias("cod_vendedor_crm")).agg(F.count(F.lit(1)).alias("checkins"))
+    registered = for_listed(registrations, "cod_rep", pilot).groupBy("cod_rep").agg(F.count(F.lit(1)).alias("cadastros"))
+    visited = for_listed(visits, "cod_vendedor", crm_codes).groupBy(F.col("cod_vendedor").alias("cod_vendedor_crm"))
+    visited = visited.agg(F.count(F.lit(1)).alias("checkins"))
     return (
         pilot.join(ordered, "cod_rep", "left")
         .join(registered, "cod_rep", "left")

@@ -34,10 +34,26 @@ def for_seller(df: DataFrame, seller: str | None, column: str = "cod_vendedor")
 
 
 def for_company(df: DataFrame, company: str | None) -> DataFrame:
-    """Rows of one company. ``None`` means the table holds a single company."""
+    """Rows of one company; all rows for ``None``. Codes of different companies are never taken for one another."""
     return df if company is None else df.filter(F.col("empresa") == company)
 
 
+def shared_key(code: str, *tables: DataFrame) -> list[str]:
+    """What names a ``code`` in tables that are joined: codes are given out by company, where all of them tell it."""
+    return ["empresa", code] if all("empresa" in t.columns for t in tables) else [code]
+
+
+def customer_key(*tables: DataFrame) -> list[str]:
+    return shared_key("cod_cliente", *tables)
+
+
+def own_code(rows: DataFrame, column: str, company: str | None = None) -> Column:
+    """A code or number as what is counted: together with its company, where rows of several may be among each other."""
+    if company is not None or "empresa" not in rows.columns:
+        return F.col(column)
+    return F.when(F.col(column).isNotNull(), F.struct("empresa", column))
+
+
 def for_listed(df: DataFrame, column: str, listed: list[str] | DataFrame) -> DataFrame:
     """Membership in a short list, or in the same-named column of another table."""
     if isinstance(listed, DataFrame):

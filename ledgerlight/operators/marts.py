@@ -88,14 +88,20 @@ def build_sellers(reps: DataFrame) -> DataFrame:
     )
 
 
-def group_invoice_lines(lines: DataFrame, since: Day = FULL_SINCE) -> DataFrame:
+def _valid_since(lines: DataFrame, since: Day | None) -> DataFrame:
+    """Lines that are not cancelled, dated ``since`` or later; all of those where it is ``None``."""
+    valid = lines.filter(F.col("dt_cancela").isNull())
+    return valid if since is None else valid.filter(F.col("dt_emis_nota") >= F.lit(as_day(since)))
+
+
+def group_invoice_lines(lines: DataFrame, since: Day | None = FULL_SINCE) -> DataFrame:
     """One row per invoice, item and customer; cancelled invoices left out.
 
     An item may be on several lines of one invoice. Attributes take the greatest
     value in binary order.
     """
     return (
-        lines.filter(F.col("dt_cancela").isNull() & (F.col("dt_emis_nota") >= F.lit(as_day(since))))
+        _valid_since(lines, since)
         .groupBy("nr_nota_fis", "it_codigo", "cd_emitente", "cod_estabel", "empresa")
         .agg(
             F.max("nat_operacao").alias("nat_operacao"),
@@ -114,7 +120,7 @@ def build_sales(
     customers: DataFrame,
     seller_map: DataFrame,
     products: DataFrame,
-    since: Day = FULL_SINCE,
+    since: Day | None = FULL_SINCE,
     loaded_at: Column | None = None,
 ) -> DataFrame:
     """Sales rows from ERP invoice lines.
@@ -157,20 +163,18 @@ def build_sales(
     )
 
 
-def unmapped_operations(lines: DataFrame, type_map: DataFrame, since: Day = FULL_SINCE, top: int = UNMAPPED_TOP) -> DataFrame:
-    """Codes that fell back to "sale", most frequent first."""
-    counted = (
-        lines.filter(F.col("dt_cancela").isNull() & (F.col("dt_emis_nota") >= F.lit(as_day(since))))
-        .groupBy("empresa", "nat_operacao")
-        .agg(F.count(F.lit(1)).alias("qtd"))
-    )
+def unmapped_operations(
+    lines: DataFrame, type_map: DataFrame, since: Day | None = FULL_SINCE, top: int | None = UNMAPPED_TOP
+) -> DataFrame:
+    """Codes that fell back to "sale", most frequent first; all of them where ``top`` is ``None``."""
+    counted = _valid_since(lines, since).groupBy("empresa", "nat_operacao").agg(F.count(F.lit(1)).alias("qtd"))
     known = type_map.select("empresa", "nat_operacao")
-    return (
+    listed = (
         counted.join(known, ["nat_operacao", "empresa"], "left_anti")
         .select("empresa", "nat_operacao", "qtd")
         .orderBy(F.desc("qtd"), F.asc_nulls_last("empresa"), F.asc_nulls_last("nat_operacao"))
-        .limit(top)
     )
+    return listed if top is None else listed.limit(top)
 
 
 def products_from_export(raw: DataFrame, company: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import percent, sum_where
 from ..functions.periods import Day
 from ..schemas import CUT, INVOICED, NO_REASON, OPEN, SALE
-from .filters import for_company, for_seller, in_period
+from .filters import for_company, for_seller, in_period, own_code, shared_key
 from .sales import with_seller_name
 
 
@@ -24,7 +24,7 @@ def open_backlog(orders: DataFrame, seller: str | None = None, company: str | No
     return _open(orders, seller, company).agg(
         F.coalesce(F.sum("valor"), F.lit(0)).alias("valor"),
         F.coalesce(F.sum("qt_caixas"), F.lit(0)).alias("caixas"),
-        F.count_distinct("nr_pedido").alias("pedidos"),
+        F.count_distinct(own_code(orders, "nr_pedido", company)).alias("pedidos"),
         F.count(F.lit(1)).alias("itens"),
     )
 
@@ -64,7 +64,7 @@ def backlog_by_seller(
 ) -> DataFrame:
     grouped = (
         _open(orders, seller, company)
-        .groupBy("cod_vendedor")
+        .groupBy(*shared_key("cod_vendedor", orders, sellers))
         .agg(
             F.sum("valor").alias("valor"),
             F.sum("qt_caixas").alias("caixas"),

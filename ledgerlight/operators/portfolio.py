@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import count_where, is_sale, percent, sum_where
 from ..functions.periods import Day, as_day
-from .filters import for_company, for_seller, in_period, search_customers
+from .filters import customer_key, for_company, for_seller, in_period, search_customers
 
 # --- fixed values: days since the last sale, days of the value window, sizes --
 ACTIVE_DAYS = 90
@@ -28,18 +28,18 @@ def customer_recency(
     selects the customers a seller owns; whose sale it was does not matter.
     """
     day = as_day(as_of)
+    sold = for_company(in_period(sales, "data_emissao", end=day), company).filter(is_sale())
+    return with_recency(for_seller(for_company(customers, company), seller), sold, day, F.col("valor"))
+
+
+def with_recency(portfolio: DataFrame, sold: DataFrame, day: dt.date, value: Column) -> DataFrame:
+    """The portfolio with last sale, days since and ``value`` of the last 180 days, from rows of what was sold."""
     recent = F.col("data_emissao") >= F.lit(day - dt.timedelta(days=VALUE_DAYS))
-    bought = (
-        for_company(in_period(sales, "data_emissao", end=day), company)
-        .filter(is_sale())
-        .groupBy("cod_cliente")
-        .agg(
-            F.max("data_emissao").alias("ultima_compra"),
-            sum_where("valor", recent).alias("faturamento_6m"),
-        )
+    key = customer_key(portfolio, sold)
+    bought = sold.groupBy(*key).agg(
+        F.max("data_emissao").alias("ultima_compra"), sum_where(value, recent).alias("faturamento_6m")
     )
-    portfolio = for_seller(for_company(customers, company), seller)
-    return portfolio.join(bought, "cod_cliente", "left").select(
+    return portfolio.join(bought, key, "left").select(
         "cod_cliente", "nome", "cod_vendedor", "limite_credito", "credito_suspenso", "ultima_compra",
         F.datediff(F.lit(day), "ultima_compra").alias("dias_sem_compra"),
         F.coalesce("faturamento_6m", F.lit(0)).alias("faturamento_6m"),
@@ -83,17 +83,18 @@ def customer_list(
     seller: str | None = None,
     channel: str | None = None,
     text: str | None = None,
-    size: int = LIST_SIZE,
+    size: int | None = LIST_SIZE,
 ) -> DataFrame:
+    """Customers by name; all of them where ``size`` is ``None``."""
     df = for_seller(for_company(customers, company), seller)
     if channel:
         df = df.filter(F.col("canal") == channel)
-    return (
+    listed = (
         search_customers(df, text)
         .select(
             "cod_cliente", "nome", "cnpj", "canal", "cidade", "uf", "cod_vendedor",
             "limite_credito", "credito_suspenso",
         )
         .orderBy(F.asc_nulls_last("nome"), F.asc_nulls_last("cod_cliente"))
-        .limit(size)
     )
+    return listed if size is None else listed.limit(size)

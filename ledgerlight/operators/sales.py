@@ -23,7 +23,16 @@ from ..functions.measures import (
 )
 from ..functions.periods import Day, month_key, previous_span
 from ..schemas import AGENDA_PENDING, BONUS, NO_CHANNEL, NO_FAMILY, RETURN, SALE, VISIT_DONE
-from .filters import for_company, for_seller, in_period, local_period, spans_overlapping
+from .filters import (
+    customer_key,
+    for_company,
+    for_seller,
+    in_period,
+    local_period,
+    own_code,
+    shared_key,
+    spans_overlapping,
+)
 
 
 def sales_slice(
@@ -42,8 +51,8 @@ def _boxes_total():
     return F.coalesce(F.sum(moved_boxes()), F.lit(0)).alias("caixas_total")
 
 
-def _buying_customers():
-    return distinct_where("cod_cliente", is_buying_line()).alias("clientes_positivados")
+def _buying_customers(rows: DataFrame, company: str | None):
+    return distinct_where(own_code(rows, "cod_cliente", company), is_buying_line()).alias("clientes_positivados")
 
 
 def sales_summary(
@@ -52,16 +61,18 @@ def sales_summary(
     """Totals and distinct counts of the period, one row."""
     kind = F.col("tipo")
     with_order = is_sale() & F.col("nr_pedido").isNotNull()
-    return sales_slice(sales, start, end, seller, company).agg(
+    rows = sales_slice(sales, start, end, seller, company)
+    order = own_code(rows, "nr_pedido", company)
+    return rows.agg(
         _net_revenue(),
         sum_where("valor", kind == RETURN).alias("devolucoes"),
         _boxes_total(),
         sum_where("qt_caixas", kind == BONUS).alias("caixas_bonificadas"),
-        distinct_where("nr_pedido", with_order).alias("pedidos"),
-        distinct_where("nr_nota", is_sale()).alias("notas"),
-        _buying_customers(),
+        distinct_where(order, with_order).alias("pedidos"),
+        distinct_where(own_code(rows, "nr_nota", company), is_sale()).alias("notas"),
+        _buying_customers(rows, company),
         # A struct, so that a pair with a missing item still counts.
-        distinct_where(F.struct("nr_pedido", "it_codigo"), with_order).alias("linhas_pedido"),
+        distinct_where(F.struct(order, "it_codigo"), with_order).alias("linhas_pedido"),
     )
 
 
@@ -87,9 +98,8 @@ def previous_period(
 ) -> DataFrame:
     """Revenue, boxes and buying customers of the span before the period."""
     first, last = previous_span(start, end)
-    return sales_slice(sales, first, last, seller, company).agg(
-        _net_revenue(), _boxes_total(), _buying_customers()
-    )
+    rows = sales_slice(sales, first, last, seller, company)
+    return rows.agg(_net_revenue(), _boxes_total(), _buying_customers(rows, company))
 
 
 def today_totals(sales: DataFrame, as_of: Day, seller: str | None = None, company: str | None = None) -> DataFrame:
@@ -121,10 +131,20 @@ def by_channel(
     Every channel of the portfolio is listed, with or without sales.
     """
     revenue, boxes = _revenue_and_boxes()
-    per_customer = sales_slice(sales, start, end, seller, company).groupBy("cod_cliente").agg(revenue, boxes)
-    portfolio = for_seller(for_company(customers, company), seller).select("cod_cliente", "canal")
+    portfolio = portfolio_of(customers, seller, company)
+    rows = sales_slice(sales, start, end, seller, company)
+    return channel_shares(portfolio, rows.groupBy(*customer_key(portfolio, rows)).agg(revenue, boxes))
+
+
+def portfolio_of(customers: DataFrame, seller: str | None, company: str | None) -> DataFrame:
+    owned = for_seller(for_company(customers, company), seller)
+    return owned.select(*customer_key(customers), "canal")
+
+
+def channel_shares(portfolio: DataFrame, per_customer: DataFrame) -> DataFrame:
+    """Channels of the portfolio with their share of its customers and what the customers bought."""
     grouped = (
-        portfolio.join(per_customer, "cod_cliente", "left")
+        portfolio.join(per_customer, customer_key(portfolio, per_customer), "left")
         .groupBy(F.coalesce("canal", F.lit(NO_CHANNEL)).alias("canal"))
         .agg(
             F.count(F.lit(1)).alias("qtd"),
@@ -146,14 +166,13 @@ def by_seller(
     seller: str | None = None,
     company: str | None = None,
 ) -> DataFrame:
-    grouped = (
-        sales_slice(sales, start, end, seller, company)
-        .groupBy("cod_vendedor")
-        .agg(
-            *_revenue_and_boxes(),
-            distinct_where("cod_cliente", is_buying_line()).alias("positivados"),
-            distinct_where("nr_pedido", is_sale()).alias("pedidos"),
-        )
+    """Revenue, boxes, buying customers and orders per seller; sellers of two companies stay apart."""
+    rows = sales_slice(sales, start, end, seller, company)
+    key = shared_key("cod_vendedor", rows, sellers)
+    grouped = rows.groupBy(*key).agg(
+        *_revenue_and_boxes(),
+        distinct_where("cod_cliente", is_buying_line()).alias("positivados"),
+        distinct_where("nr_pedido", is_sale()).alias("pedidos"),
     )
     return with_seller_name(grouped, for_company(sellers, company)).orderBy(
         F.desc_nulls_last("faturamento"), F.asc_nulls_last("cod_vendedor")
@@ -162,9 +181,10 @@ def by_seller(
 
 def with_seller_name(grouped: DataFrame, sellers: DataFrame) -> DataFrame:
     """Add the seller's name, or the code where no name is known."""
-    names = sellers.select("cod_vendedor", F.col("nome").alias("nome_cadastro"))
-    rest = [c for c in grouped.columns if c != "cod_vendedor"]
-    return grouped.join(names, "cod_vendedor", "left").select(
+    key = shared_key("cod_vendedor", grouped, sellers)
+    names = sellers.select(*key, F.col("nome").alias("nome_cadastro"))
+    rest = [c for c in grouped.columns if c not in ("cod_vendedor", "empresa")]
+    return grouped.join(names, key, "left").select(
         "cod_vendedor", F.coalesce("nome_cadastro", "cod_vendedor").alias("nome"), *rest
     )
 
@@ -184,16 +204,15 @@ def by_family(
     family or item is ever gathered in one place.
     """
     revenue, boxes = _revenue_and_boxes()
-    pairs = (
-        sales_slice(sales, start, end, seller, company)
-        .groupBy("it_codigo", "cod_cliente")
-        .agg(revenue, boxes, F.max(is_sale().cast("int")).alias("comprou"))
-    )
-    families = for_company(products, company).select("it_codigo", F.col("familia").alias("familia_cadastro"))
+    rows = sales_slice(sales, start, end, seller, company)
+    item = shared_key("it_codigo", rows, products)
+    customer = customer_key(rows)
+    pairs = rows.groupBy("it_codigo", *customer).agg(revenue, boxes, F.max(is_sale().cast("int")).alias("comprou"))
+    families = for_company(products, company).select(*item, F.col("familia").alias("familia_cadastro"))
     totals = [F.sum("faturamento").alias("faturamento"), F.sum("caixas").alias("caixas")]
     return (
-        pairs.join(families, "it_codigo", "left")
-        .groupBy(F.coalesce("familia_cadastro", F.lit(NO_FAMILY)).alias("familia"), "cod_cliente")
+        pairs.join(families, item, "left")
+        .groupBy(F.coalesce("familia_cadastro", F.lit(NO_FAMILY)).alias("familia"), *customer)
         .agg(*totals, F.max("comprou").alias("comprou"))
         .groupBy("familia")
         .agg(*totals, F.sum("comprou").alias("pdvs"))
@@ -225,11 +244,16 @@ def by_campaign(
 
     All tagged sales count, whenever they were made, unless ``cut_to_period``.
     """
-    wanted = spans_overlapping(campaigns, start, end)
     tagged = for_seller(sales, seller).filter(F.col("campanha_id").isNotNull())
     if cut_to_period:
         tagged = in_period(tagged, "data_emissao", start, end)
-    grouped = tagged.groupBy(F.col("campanha_id").alias("id")).agg(*_revenue_and_boxes())
+    wanted = spans_overlapping(campaigns, start, end)
+    # Only sales of the wanted campaigns are grouped.
+    tagged = tagged.join(wanted.select(F.col("id").alias("campanha_id")), "campanha_id", "left_semi")
+    return campaign_lines(wanted, tagged.groupBy(F.col("campanha_id").alias("id")).agg(*_revenue_and_boxes()))
+
+
+def campaign_lines(wanted: DataFrame, grouped: DataFrame) -> DataFrame:
     return (
         wanted.join(grouped, "id", "left")
         .select(
@@ -270,16 +294,30 @@ def goals_vs_actuals(
     Each actual is one aggregate per seller; registrations count 0 when no
     registration table is given.
     """
-    zero = F.lit(0)
-    wanted = for_seller(goals.filter(F.col("mes") == month_key(start)), seller)
-    sold = (
+    totals = (
         sales_slice(sales, start, end, seller, company)
         .groupBy("cod_vendedor")
-        .agg(
-            distinct_where("cod_cliente", is_buying_line()).alias("real_positivados"),
-            F.sum(signed_value()).alias("real_faturamento"),
-            F.sum(moved_boxes()).alias("real_caixas"),
-        )
+        .agg(distinct_where("cod_cliente", is_buying_line()).alias("positivados"), *_revenue_and_boxes())
+    )
+    return goals_vs_totals(goals, users, totals, visits, start, end, seller, registrations)
+
+
+def goals_vs_totals(
+    goals: DataFrame,
+    users: DataFrame,
+    totals: DataFrame,
+    visits: DataFrame,
+    start: Day,
+    end: Day,
+    seller: str | None = None,
+    registrations: DataFrame | None = None,
+) -> DataFrame:
+    """Goals next to sellers' totals (cod_vendedor, positivados, faturamento, caixas)."""
+    zero = F.lit(0)
+    wanted = for_seller(goals.filter(F.col("mes") == month_key(start)), seller)
+    sold = totals.select(
+        "cod_vendedor", F.col("positivados").alias("real_positivados"), F.col("faturamento").alias("real_faturamento"),
+        F.col("caixas").alias("real_caixas"),
     )
     named = with_seller_name(wanted, users)
     result = named.join(visits_per_seller(visits, start, end), "cod_vendedor", "left").join(sold, "cod_vendedor", "left")

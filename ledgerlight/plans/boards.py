@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.periods import Day
 from ..operators import orders as order_ops
 from ..operators import portfolio, sales
+from ..operators import rollups as rollup_ops
+from ..operators.filters import for_seller, spans_overlapping
 from ..schemas import FIELD_APP_ORIGIN
 
 # Blocks nested in "pedidos", and one-row blocks whose columns stand at top level.
@@ -61,12 +63,20 @@ class SalesMarts:
     campaigns: DataFrame | None = None
     tagged_sales: DataFrame | None = None
     registered: DataFrame | None = None
+    # With these, the blocks that they hold do not go back to the sales.
+    rollups: rollup_ops.SalesRollups | None = None
+    campaign_days: DataFrame | None = None
 
 
 def sales_board(
     marts: SalesMarts, start: Day, end: Day, as_of: Day, seller: str | None = None, company: str | None = None
 ) -> dict[str, DataFrame]:
-    """All sales blocks. Each reads only its own columns of the partitions it needs."""
+    """All sales blocks. Each reads only its own columns of the partitions it needs.
+
+    With stored rollups the sales themselves are read twice, for the period only: for the order lines and the families.
+    """
+    if marts.rollups is not None:
+        return _sales_board_of_rollups(marts, start, end, as_of, seller, company)
     scope = {"seller": seller, "company": company}
     summary = sales.sales_summary(marts.sales, start, end, **scope)
     recency = portfolio.customer_recency(marts.customers, marts.sales, as_of, **scope)
@@ -74,10 +84,7 @@ def sales_board(
     blocks = {
         "dados_ate": sales.data_freshness(marts.sales, company),
         "anterior": sales.previous_period(marts.sales, start, end, **scope),
-        "resumo": summary.select(
-            "faturamento_total", "devolucoes", "caixas_total", "caixas_bonificadas", "pedidos", "notas",
-            "clientes_positivados", *sales.ratio_columns(),
-        ),
+        "resumo": _summary_block(summary),
         "hoje": sales.today_totals(marts.sales, as_of, **scope),
         "carteira": portfolio.portfolio_summary(recency, summary),
         "esfriando": portfolio.cooling_customers(recency),
@@ -98,6 +105,47 @@ def sales_board(
     return blocks
 
 
+def _sales_board_of_rollups(
+    marts: SalesMarts, start: Day, end: Day, as_of: Day, seller: str | None, company: str | None
+) -> dict[str, DataFrame]:
+    scope = {"seller": seller, "company": company}
+    held = marts.rollups
+    summary = rollup_ops.sales_summary(held, marts.sales, start, end, **scope)
+    recency = rollup_ops.customer_recency(held, marts.customers, as_of, **scope)
+    counted = None
+    blocks = {
+        "dados_ate": rollup_ops.data_freshness(held, company),
+        "anterior": rollup_ops.previous_period(held, start, end, **scope),
+        "resumo": _summary_block(summary),
+        "hoje": rollup_ops.today_totals(held, as_of, **scope),
+        "carteira": portfolio.portfolio_summary(recency, summary),
+        "esfriando": portfolio.cooling_customers(recency),
+        "por_canal": rollup_ops.by_channel(held, marts.customers, start, end, **scope),
+        "por_vendedor": rollup_ops.by_seller(held, marts.sellers, start, end, **scope),
+        "por_familia": sales.by_family(marts.sales, marts.products, start, end, **scope),
+        "por_dia": rollup_ops.by_day(held, start, end, **scope),
+        "visitas": sales.visit_summary(marts.visits, marts.agenda, start, end, seller),
+    }
+    if marts.campaigns is not None and marts.campaign_days is not None:
+        wanted = spans_overlapping(marts.campaigns, start, end)
+        totals = for_seller(marts.campaign_days, seller).groupBy(F.col("campanha_id").alias("id"))
+        totals = totals.agg(F.sum("faturamento").alias("faturamento"), F.sum("caixas").alias("caixas"))
+        blocks["por_campanha"] = sales.campaign_lines(wanted, totals).drop("id")
+    if marts.registered is not None:
+        counted = sales.registrations_by_seller(marts.registered, start, end, FIELD_APP_ORIGIN, seller)
+        blocks["cadastros"] = counted
+    totals = rollup_ops.seller_totals(held, start, end, **scope)
+    blocks["metas"] = sales.goals_vs_totals(marts.goals, marts.users, totals, marts.visits, start, end, seller, counted)
+    return blocks
+
+
+def _summary_block(summary: DataFrame) -> DataFrame:
+    return summary.select(
+        "faturamento_total", "devolucoes", "caixas_total", "caixas_bonificadas", "pedidos", "notas",
+        "clientes_positivados", *sales.ratio_columns(),
+    )
+
+
 def orders_board(
     orders: DataFrame,
     sellers: DataFrame,

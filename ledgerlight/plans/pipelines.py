@@ -11,17 +11,20 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import schemas
-from ..functions.periods import Day, last_days
+from ..functions.periods import Day, last_days, month_slices
 from ..operators import marts
 from ..operators.filters import in_period
+from ..operators.monitoring import CONTRACTS, contract_checks, quarantine
 from ..sinks import tables
 from ..sinks.field_app import sync_field_tables
+from ..sinks.rollups import refresh_rollups
 from ..sinks.run_log import log_end, log_start
-from ..sources.database import OPEN_END, WINDOW_DAYS, default_first_year, read_by_year, read_source_table
-from ..sources.exports import EXPORTS, HISTORY_START, history_cutoff, read_export
+from ..sources.database import OPEN_END, WINDOW_DAYS, default_first_year, read_by_key, read_by_year, read_source_table
+from ..sources.exports import EXPORTS, FAILURES, HISTORY_START, history_cutoff, read_export, unread_values
 from ..sources.landing import FIELD_APP_TABLES, read_field_app
 
 # A source gives an entity, for all time or for a span of days.
@@ -43,6 +46,9 @@ class Lake:
     def mart(self, name: str) -> str:
         return f"{self.root}/mart/{name}"
 
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/stg/quarantine/{name}"
+
     @property
     def field(self) -> str:
         return f"{self.root}/crm"
@@ -94,8 +100,12 @@ def load_fact(
     rows: DataFrame,
     company: str,
     cutoff: Day | None = None,
+    source: Source | None = None,
 ) -> None:
-    """A raw fact, in full or from ``cutoff`` on."""
+    """A raw fact, in full or from ``cutoff`` on.
+
+    A ``source`` that can be asked by key (``by_key``) gives the rows that have left the window for an earlier day.
+    """
     date_column = FACT_DATES[entity]
     path = lake.raw(entity)
     with logged(spark, lake, f"extract:{entity}") as step:
@@ -104,28 +114,45 @@ def load_fact(
         else:
             # A source that does not deliver the key's columns cannot tell which of its lines have moved.
             key = FACT_KEYS[entity] if set(FACT_KEYS[entity]) <= set(rows.columns) else ()
-            tables.replace_window(rows, path, company, date_column, cutoff, key)
+            by_key = getattr(source, "by_key", None)
+            refetch = (lambda keys: by_key(entity, keys)) if by_key and key else None
+            tables.replace_window(rows, path, company, date_column, cutoff, key, refetch)
         step.rows = stored_rows(spark, path, company, rows.schema, (date_column, cutoff) if cutoff else None)
 
 
 FACT_DATES = {"invoice_lines": "dt_emis_nota", "orders": "dt_venda"}
+# Key of a sales row, and the columns of the lines that it is made of.
+SALES_OF_LINES = {"nr_nota": "nr_nota_fis", "it_codigo": "it_codigo", "cod_cliente": "cd_emitente", "estabel": "cod_estabel"}
 FACT_KEYS = {"invoice_lines": schemas.KEYS["invoice_lines"], "orders": schemas.KEYS["order_lines"]}
 
 
 # ------------------------------------------------------------------ export path
 
 
-def load_export(spark: SparkSession, lake: Lake, landing: str, entity: str, since: Day) -> None:
+def load_export(spark: SparkSession, lake: Lake, landing: str, entity: str, since: Day | None) -> None:
+    """An export to its raw table, in one pass over the file.
+
+    Texts that could not be converted are null in the row, counted in the same pass, named in the log and kept, with
+    their row, in the quarantine table of the entity, which always belongs to the last load.
+    """
     export = EXPORTS[entity]
     with logged(spark, lake, f"csv:{entity}") as step:
-        rows = read_export(spark, f"{landing}/{export.file}", entity)
-        skipped = Observation()
+        rows = read_export(spark, f"{landing}/{export.file}", entity, failures=True)
+        skipped, unread = Observation(), Observation()
         if export.date_column:
             rows = history_cutoff(rows, export.date_column, since, skipped)
+        lost = F.size(FAILURES)
+        rows = rows.observe(unread, F.count(F.when(lost > 0, 1)).alias("rows"), F.coalesce(F.sum(lost), F.lit(0)).alias("values"))
         tables.replace_table(rows, lake.raw(entity))
         step.rows = stored_rows(spark, lake.raw(entity))
+        if unread.get["rows"] or tables.table_exists(spark, lake.quarantine(entity)):
+            tables.replace_table(unread_values(tables.read_table(spark, lake.raw(entity))), lake.quarantine(entity))
+        said = []
         if export.date_column:
-            step.message = f"{skipped.get['skipped']} linhas anteriores a {since} ignoradas"
+            said.append(f"{skipped.get['skipped']} linhas anteriores a {since} ignoradas")
+        if unread.get["rows"]:
+            said.append(f"{unread.get['values']} valores ilegiveis em {unread.get['rows']} linhas, em quarentena")
+        step.message = "; ".join(said)
 
 
 def build_export_marts(spark: SparkSession, lake: Lake, company: str) -> None:
@@ -151,6 +178,39 @@ def build_export_marts(spark: SparkSession, lake: Lake, company: str) -> None:
         orders = marts.orders_from_export(raw["order_items"], customers, products, company)
         tables.replace_fact(orders, lake.mart("orders"), company, "data_pedido")
         step.rows = stored_rows(spark, lake.mart("orders"), company, schemas.ORDERS)
+    follow_sales(spark, lake, company)
+    check_mart(spark, lake, company, "orders")
+
+
+def follow_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day | None = None) -> None:
+    """What hangs on the sales mart: its rollups, for the months that changed, and its contract."""
+    with logged(spark, lake, "mart:sales_rollups") as step:
+        months = refresh_rollups(spark, lake.mart("sales"), lake.mart("sales_rollups"), company)
+        step.message = f"{len(months)} meses"
+    check_mart(spark, lake, company, "sales", ("data_emissao", cutoff) if cutoff else None)
+
+
+def check_mart(spark: SparkSession, lake: Lake, company: str, name: str, since: tuple[str, Day] | None = None) -> None:
+    """Contract of a mart (of what was loaded ``since`` a day): broken rules go to the log, rows that break one to quarantine."""
+    with logged(spark, lake, f"check:{name}") as step:
+        rows = tables.read_table(spark, lake.mart(name), company)
+        rows = in_period(rows, *since) if since else rows
+        broken = contract_checks(rows, CONTRACTS[name]).filter("violacoes > 0").collect()  # one row for each rule
+        step.message = "; ".join(f"{r.regra}: {r.violacoes}" for r in broken)
+        if broken or tables.table_exists(spark, lake.quarantine(name)):
+            tables.replace_table(quarantine(rows, CONTRACTS[name]), lake.quarantine(name))
+
+
+def tidy(spark: SparkSession, lake: Lake, company: str) -> None:
+    """Old states of all tables go, but for the last two: a reader may still be at the one before."""
+    facts = [lake.raw(e) for e in (*FACT_DATES, *DIMENSIONS, "registrations")]
+    facts += [lake.mart(n) for n in ("sales", "orders", "sales_rollups")] + [lake.stage("type_map")]
+    for path in facts:
+        tables.drop_old_versions(spark, path, company)
+    whole = [lake.raw(e) for e in EXPORTS] + [lake.mart(n) for n in ("products", "customers", "sellers")]
+    whole += [lake.quarantine(n) for n in (*EXPORTS, "sales", "orders")] + [lake.stage("unmapped_operations")]
+    for path in whole + [f"{lake.field}/{n}" for n in FIELD_APP_TABLES]:
+        tables.drop_old_versions(spark, path)
 
 
 def sync_field(spark: SparkSession, lake: Lake, landing: str | None) -> None:
@@ -166,7 +226,7 @@ def refresh_from_exports(
     lake: Lake,
     landing: str,
     company: str,
-    since: Day = HISTORY_START,
+    since: Day | None = HISTORY_START,
     field_landing: str | None = None,
 ) -> None:
     """Exports to raw, raw to marts, field app to its mirror."""
@@ -174,6 +234,7 @@ def refresh_from_exports(
         load_export(spark, lake, landing, entity, since)
     build_export_marts(spark, lake, company)
     sync_field(spark, lake, field_landing)
+    tidy(spark, lake, company)
 
 
 # --------------------------------------------------------------------- ERP path
@@ -205,7 +266,12 @@ def jdbc_source(
             return years.unionByName(read_source_table(spark, options[entity], entity, company, later, **settings))
         return read_source_table(spark, options[entity], entity, company, span, **settings)
 
+    def by_key(entity: str, keys: DataFrame) -> DataFrame:
+        spans = month_slices(first, last, slices_per_year)
+        return read_by_key(spark, options[entity], entity, company, keys, spans, settings.get("scope"))
+
     read.history_start = f"{first}-01-01"
+    read.by_key = by_key
     return read
 
 
@@ -238,31 +304,43 @@ def seller_map(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame([], schemas.SELLER_MAP)
 
 
-def rebuild_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day, whole: bool) -> None:
-    """The sales mart from the raw lines since ``cutoff``; codes without a type go to the log."""
+def rebuild_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day | None, whole: bool) -> None:
+    """The sales mart from the raw lines since ``cutoff``; codes without a type go to a table and to the log.
+
+    Sales that are no longer in the window are built again from what the raw lines hold for them on any day.
+    """
     with logged(spark, lake, "mart:sales") as step:
         lines = tables.read_table(spark, lake.raw("invoice_lines"), company, schemas.INVOICE_LINES)
         kinds = tables.read_table(spark, lake.stage("type_map"), company)
-        sales = marts.build_sales(
-            lines,
-            kinds,
-            tables.read_table(spark, lake.mart("customers")),
-            seller_map(spark, lake),
-            tables.read_table(spark, lake.mart("products")),
-            since=cutoff,
-        )
+        customers = tables.read_table(spark, lake.mart("customers"))
+        products = tables.read_table(spark, lake.mart("products"))
+
+        def build(of: DataFrame, since: Day | None) -> DataFrame:
+            return marts.build_sales(of, kinds, customers, seller_map(spark, lake), products, since)
+
+        def again(keys: DataFrame) -> DataFrame:
+            wanted = keys.select(*(F.col(ours).alias(raw) for ours, raw in SALES_OF_LINES.items()))
+            return build(tables.matching(lines, wanted, wanted.columns, "left_semi"), None)
+
+        sales = build(lines, cutoff)
         path = lake.mart("sales")
         if whole:
             tables.replace_fact(sales, path, company, "data_emissao")
         else:
-            tables.replace_window(sales, path, company, "data_emissao", cutoff, schemas.KEYS["sales"])
-        step.rows = stored_rows(spark, path, company, schemas.SALES, ("data_emissao", cutoff))
-        step.message = _unmapped_message(marts.unmapped_operations(lines, kinds, cutoff))
+            tables.replace_window(sales, path, company, "data_emissao", cutoff, schemas.KEYS["sales"], again)
+        step.rows = stored_rows(spark, path, company, schemas.SALES, ("data_emissao", cutoff) if cutoff else None)
+        unmapped = lake.stage("unmapped_operations")
+        tables.replace_table(marts.unmapped_operations(lines, kinds, cutoff, top=None), unmapped)
+        step.message = _unmapped_message(tables.read_table(spark, unmapped), unmapped)
+    follow_sales(spark, lake, company, None if whole else cutoff)
 
 
-def _unmapped_message(unmapped: DataFrame) -> str:
-    codes = [r.nat_operacao for r in unmapped.collect()]  # a top-20 report
-    return f"codigos sem tipo, contados como venda: {', '.join(map(str, codes))}" if codes else ""
+def _unmapped_message(unmapped: DataFrame, path: str) -> str:
+    """All codes without a type are in the table; the message names the most frequent."""
+    number = unmapped.count()
+    most = unmapped.orderBy(F.desc("qtd"), "nat_operacao").limit(marts.UNMAPPED_TOP).collect()
+    codes = ", ".join(str(r.nat_operacao) for r in most)
+    return f"{number} codigos sem tipo, contados como venda, todos em {path}: {codes}" if number else ""
 
 
 def load_registrations(spark: SparkSession, lake: Lake, source: Source, company: str) -> None:
@@ -278,7 +356,7 @@ def refresh_full(
     source: Source,
     company: str,
     field_landing: str | None = None,
-    cutoff: Day = marts.FULL_SINCE,
+    cutoff: Day | None = marts.FULL_SINCE,
     since: Day | None = None,
 ) -> None:
     """The history that the ERP holds.
@@ -294,6 +372,7 @@ def refresh_full(
     load_fact(spark, lake, "orders", source("orders", None), company, since)
     load_registrations(spark, lake, source, company)
     sync_field(spark, lake, field_landing)
+    tidy(spark, lake, company)
 
 
 def refresh_window(
@@ -310,8 +389,9 @@ def refresh_window(
     span = (cutoff, OPEN_END)
     load_dimensions(spark, lake, source, company)
     build_dimensions(spark, lake, company)
-    load_fact(spark, lake, "invoice_lines", source("invoice_lines", span), company, cutoff)
+    load_fact(spark, lake, "invoice_lines", source("invoice_lines", span), company, cutoff, source)
     rebuild_sales(spark, lake, company, cutoff, whole=False)
-    load_fact(spark, lake, "orders", source("orders", span), company, cutoff)
+    load_fact(spark, lake, "orders", source("orders", span), company, cutoff, source)
     load_registrations(spark, lake, source, company)
     sync_field(spark, lake, field_landing)
+    tidy(spark, lake, company)

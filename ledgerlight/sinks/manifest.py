@@ -126,13 +126,15 @@ class Load:
     def _path(self, name: str) -> str:
         return f"{self.folder}/data/{name}/g={self.generation}"
 
-    def write(self, df: DataFrame, column: str, name: str = ROWS) -> DataFrame:
-        """Rows put into this load's generation, behind rows it already holds; what it holds now."""
-        schema = T.StructType([f for f in df.schema.fields if f.name != column] + [df.schema[column]])
+    def write(self, df: DataFrame, column: str, name: str = ROWS) -> None:
+        """Rows put into this load's generation, behind rows it already holds."""
         # Even files for each partition; one too large for a task is split.
-        rows = df.select(*schema.names).hint("rebalance", F.col(column))
+        rows = df.select(*_ordered(df.schema, column).names).hint("rebalance", F.col(column))
         rows.write.mode("append").partitionBy(column).parquet(self._path(name))
-        return _read(self.spark, self.folder, name, schema, self.written(name))
+
+    def held(self, schema: T.StructType, column: str, name: str = ROWS) -> DataFrame:
+        """What this load has written of a data set so far."""
+        return _read(self.spark, self.folder, name, _ordered(schema, column), self.written(name))
 
     def written(self, name: str = ROWS) -> dict[str, str]:
         return {c: self.generation for c in children(self.spark, self._path(name)) if "=" in c}
@@ -141,14 +143,18 @@ class Load:
         """The data set becomes the ``kept`` partition folders of the state before and all that this load wrote."""
         old = self.before.parts(name)
         parts = {folder: old[folder] for folder in kept} | self.written(name)
-        ordered = T.StructType([f for f in schema.fields if f.name != column] + [schema[column]])
-        self.after = replace(self.after, sets={**self.after.sets, name: DataSet(ordered.json(), column, parts)})
+        entry = DataSet(_ordered(schema, column).json(), column, parts)
+        self.after = replace(self.after, sets={**self.after.sets, name: entry})
 
     def commit(self) -> Manifest:
         commit(self.spark, self.folder, self.after)
         return self.after
 
 
+def _ordered(schema: T.StructType, last: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != last] + [schema[last]])
+
+
 def _read(spark: SparkSession, folder: str, name: str, schema: T.StructType, parts: dict[str, str]) -> DataFrame:
     if not parts:
         return spark.createDataFrame([], schema)

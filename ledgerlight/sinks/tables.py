@@ -166,7 +166,8 @@ def replace_window(
     stored = _stored(spark, folder, load)
     before = F.col(date_column).isNull() | (F.col(date_column) < F.lit(since))
     rows = of_company(df.filter(F.col(date_column) >= F.lit(since)))
-    landed = load.write(rows, MONTH_PARTITION)
+    load.write(rows, MONTH_PARTITION)
+    landed = load.held(rows.schema, MONTH_PARTITION)
     if stored is None:
         load.put(rows.schema, MONTH_PARTITION, kept=())
         load.commit()
@@ -174,21 +175,22 @@ def replace_window(
     stored = stored.select(*rows.columns)
     gone = landed
     if key and refetch is not None:
-        lost = _by_key(stored.filter(~before).select(*key).distinct(), landed, key, "left_anti")
+        lost = matching(stored.filter(~before).select(*key).distinct(), landed, key, "left_anti")
         back = of_company(refetch(lost.withColumn("empresa", F.lit(company)))).select(*rows.columns)
         # One read of the source for these as well.
-        held = load.write(back.filter(before), MONTH_PARTITION, _REFETCHED)
+        load.write(back.filter(before), MONTH_PARTITION, _REFETCHED)
+        held = load.held(rows.schema, MONTH_PARTITION, _REFETCHED)
         gone = landed.select(*key).unionByName(held.select(*key))
     touched = {manifest.part_name(MONTH_PARTITION, month_key(since))}
     earlier = stored.filter(before)
     if key:
-        moved = _by_key(earlier.select(*key, MONTH_PARTITION), gone, key, "left_semi")
+        moved = matching(earlier.select(*key, MONTH_PARTITION), gone, key, "left_semi")
         months = [r[0] for r in moved.select(MONTH_PARTITION).distinct().collect()]  # one for each month
         touched |= {manifest.part_name(MONTH_PARTITION, month) for month in months}
         touched |= set(load.written(_REFETCHED)) if refetch is not None else set()
     kept = _of_parts(earlier, touched)
     if key:
-        kept = _by_key(kept, gone, key, "left_anti")
+        kept = matching(kept, gone, key, "left_anti")
     load.write(kept.select(*rows.columns), MONTH_PARTITION)
     if key and refetch is not None:
         load.write(held, MONTH_PARTITION)
@@ -201,7 +203,7 @@ def replace_window(
 _REFETCHED = "refetched"
 
 
-def _by_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+def matching(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join on equal keys, null equal to null."""
     names = [f"_key_{n}" for n in range(len(key))]
     other = right.select(*(F.col(c).alias(n) for c, n in zip(key, names)))
@@ -268,7 +270,9 @@ def upsert_days(
         return frame.select(*key, date_column, bucket_of(key, buckets).alias(_BUCKET))
 
     fresh = latest_per_key(df, key, order_by)
-    landed = load.write(fresh.withColumn(_BUCKET, bucket_of(key, buckets)), _BUCKET, _LANDED)
+    fresh = fresh.withColumn(_BUCKET, bucket_of(key, buckets))
+    load.write(fresh, _BUCKET, _LANDED)
+    landed = load.held(fresh.schema, _BUCKET, _LANDED)
     if stored is None:
         load.write(landed.select(*df.columns), date_column)
         load.write(bucket(landed), _BUCKET, INDEX)
@@ -277,21 +281,21 @@ def upsert_days(
         index = bucket(stored) if first else manifest.read(
             spark, path, load.before, INDEX, [manifest.part_name(_BUCKET, b) for b in _values(load.written(_LANDED))]
         )
-        known = _by_key(index, landed, key, "left_semi")
+        known = matching(index, landed, key, "left_semi")
         # Days only, so the list is short.
         days = {r[0] for r in landed.select(date_column).unionByName(known.select(date_column)).distinct().collect()}
         touched = {manifest.part_name(date_column, d) for d in days}
         rows = stored if first else manifest.read(spark, path, load.before, parts=touched)
-        old = _by_key(rows, landed, key, "left_anti").select(*df.columns)
+        old = matching(rows, landed, key, "left_anti").select(*df.columns)
         load.write(old.unionByName(landed.select(*df.columns)), date_column)
-        unchanged = _by_key(index, landed, key, "left_anti")
+        unchanged = matching(index, landed, key, "left_anti")
         load.write(unchanged.unionByName(bucket(landed).select(*index.columns)), _BUCKET, INDEX)
         kept_days = set() if first else set(load.before.parts()) - touched
         kept_buckets = set(load.before.parts(INDEX)) - set(load.written(_LANDED))
     load.put(schema, date_column, kept_days)
     load.put(bucket(df).schema, _BUCKET, kept_buckets, INDEX)
     if counted:
-        now = manifest._read(spark, path, manifest.ROWS, _ordered(schema, date_column), load.written())
+        now = load.held(schema, date_column)
         counts = now.groupBy(date_column, *counted).agg(F.count(F.lit(1)).alias("linhas"))
         load.write(counts, date_column, COUNTS)
         load.put(counts.schema, date_column, kept_days, COUNTS)
@@ -309,10 +313,6 @@ def _values(parts: dict[str, str]) -> list[str]:
     return [p.split("=", 1)[1] for p in parts]
 
 
-def _ordered(schema: T.StructType, last: str) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != last] + [schema[last]])
-
-
 def read_day_counts(spark: SparkSession, path: str) -> DataFrame:
     """Rows by day and the columns that ``upsert_days`` counts by, of every day."""
     state = manifest.current(spark, path)

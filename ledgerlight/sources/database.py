@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,6 +18,9 @@ from ..operators.filters import OrderScope
 FETCH_SIZE = 5000
 WINDOW_DAYS = 7
 OPEN_END = "2999-12-31"
+# --- bounds of a fetch by number ----------------------------------------------
+LISTED_NUMBERS = 5000
+NUMBERS_PER_STATEMENT = 500
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,8 @@ class SourceTable:
     from_clause: str
     schema: object
     date_column: str | None = None
+    # Our name of the number that the source finds a row of a fact by.
+    number: str | None = None
     where: tuple[str, ...] = ()
     flags: frozenset[str] = field(default_factory=frozenset)
     extents: frozenset[str] = field(default_factory=frozenset)
@@ -60,6 +65,7 @@ SOURCES = {
         'AND i."serie" = n."serie" AND i."nr-nota-fis" = n."nr-nota-fis"',
         schemas.INVOICE_LINES,
         date_column='n."dt-emis-nota"',
+        number="nr_nota_fis",
         extents=frozenset({"qt_faturada", "qt_devolvida"}),
     ),
     "operations": SourceTable(
@@ -144,6 +150,7 @@ SOURCES = {
         'AND i."nr-pedcli" = v."nr-pedcli" LEFT JOIN PUB."item" it ON i."it-codigo" = it."it-codigo"',
         schemas.ORDER_ITEMS,
         date_column='v."dt-implant"',
+        number="nr_pedcli",
     ),
     "registrations": SourceTable(
         {
@@ -200,10 +207,13 @@ def source_query(
     span: tuple[Day, Day] | None = None,
     scope: OrderScope | None = None,
     rep_range: tuple[int, int] | None = None,
+    numbers: Sequence[str] = (),
 ) -> str:
     """Select statement for an entity: listed columns only, filters at the source."""
     table = SOURCES[entity]
     conditions = list(table.where)
+    if numbers:
+        conditions.append(f"{table.columns[table.number]} IN ({', '.join(_quoted(n) for n in numbers)})")
     if span and table.date_column:
         low, high = (as_day(d).isoformat() for d in span)
         conditions.append(f"{table.date_column} BETWEEN {{d '{low}'}} AND {{d '{high}'}}")
@@ -247,6 +257,7 @@ def read_source_table(
     span: tuple[Day, Day] | None = None,
     scope: OrderScope | None = None,
     rep_range: tuple[int, int] | None = None,
+    numbers: Sequence[str] = (),
 ) -> DataFrame:
     """One statement, one partition: for the dimensions and for short windows.
 
@@ -254,7 +265,7 @@ def read_source_table(
     statement that makes the session read-only and lock-free for your database
     into ``sessionInitStatement``.
     """
-    query = source_query(entity, span, scope, rep_range)
+    query = source_query(entity, span, scope, rep_range, numbers)
     settings = {"fetchsize": str(FETCH_SIZE), **options, "query": query}
     return convert_source(spark.read.format("jdbc").options(**settings).load(), entity, company)
 
@@ -293,6 +304,33 @@ def read_spans(
     return reduce(DataFrame.unionByName, parts)
 
 
+def read_by_key(
+    spark: SparkSession,
+    options: dict[str, str],
+    entity: str,
+    company: str,
+    keys: DataFrame,
+    spans: Iterable[tuple[Day, Day]],
+    scope: OrderScope | None = None,
+) -> DataFrame:
+    """The rows of a fact that have one of ``keys``, whenever they are dated.
+
+    A few numbers are asked for by name. More than ``LISTED_NUMBERS`` would make endless statements: then ``spans``
+    are read like the history, and the rows picked here.
+    """
+    number = SOURCES[entity].number
+    listed = [r[0] for r in keys.select(number).filter(F.col(number).isNotNull()).distinct().limit(LISTED_NUMBERS + 1).collect()]
+    if len(listed) > LISTED_NUMBERS:
+        rows = read_spans(spark, options, entity, company, spans, scope)
+    elif listed:
+        groups = [listed[k : k + NUMBERS_PER_STATEMENT] for k in range(0, len(listed), NUMBERS_PER_STATEMENT)]
+        parts = [read_source_table(spark, options, entity, company, scope=scope, numbers=group) for group in groups]
+        rows = reduce(DataFrame.unionByName, parts)
+    else:
+        return spark.createDataFrame([], SOURCES[entity].schema)
+    return rows.join(keys, keys.columns, "left_semi")
+
+
 def default_first_year(as_of: Day) -> int:
     """History starts two years before the current year unless told otherwise."""
     return as_day(as_of).year - 2

@@ -1,7 +1,9 @@
 """Field visits as a stream.
 
-Visits land as files. A visit may arrive up to seven days late and may arrive
-more than once; state is kept for those seven days and no longer.
+Visits land as files. A visit may arrive late, more than once, and changed. Two
+ways to count them by day: ``daily_counts`` closes a day after seven days and
+keeps state for no longer; ``store_visits`` keeps the visits and the counts of
+all days in one table, where every batch corrects the days it touches.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.measures import local_day
 from ..schemas import LOCAL_ZONE, VISITS
-from ..sinks.tables import upsert_days
+from ..sinks.tables import drop_old_versions, read_day_counts, upsert_days
 
 # --- fixed value: the reprocessed window of the batch loads, in days -----------
 LATENESS = "7 days"
@@ -49,15 +51,24 @@ def write_daily_counts(counts: DataFrame, path: str, checkpoint: str, once: bool
 
 
 def store_visits(visits: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Keep the visit table up to date from the stream.
+    """Keep the visit table, and the visits by day and seller, up to date from the stream.
 
-    A batch that runs again after a failure changes nothing: rows are put in by id
-    and only the days of the batch are rewritten.
+    Visits are put in by id, wherever they were: one that comes again with another
+    day or seller is taken off the old count and put on the new one. A batch that
+    runs again after a failure changes nothing. Only the days that a batch touches
+    are rewritten, and old files go, but for those of the last two states.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_days(batch.withColumn("dia", local_day("timestamp")), path, ["id"], "dia")
+        visits = batch.withColumn("dia", local_day("timestamp"))
+        upsert_days(visits, path, ["id"], "dia", order_by="timestamp", counted=["cod_vendedor"])
+        drop_old_versions(batch.sparkSession, path)
 
     writer = visits.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def visits_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """Visits of every day and seller, of the table that ``store_visits`` keeps."""
+    return read_day_counts(spark, path).select("dia", "cod_vendedor", F.col("linhas").alias("visitas"))
