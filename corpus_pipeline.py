@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlight.llm.common import shared_folder, table
 from ledgerlight.llm.decontaminate import drop_contaminated
 from ledgerlight.llm.packing import pack_documents
-from ledgerlight.llm.shingles import keep_one
+from ledgerlight.llm.simhash import keep_one
 from ledgerlight.llm.substrings import remove_duplicates
 from ledgerlight.llm.toxicity import drop_toxic
 
@@ -25,16 +25,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that similarity 0.8 or more of their five-word shingles connects, the document with the smallest id stays."""
+    """Of texts that fingerprints within the operator's bit distance connect, the document with the smallest id stays."""
     return keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words and more that an earlier document holds are cut out; a text without any is left as it is."""
-    cut = remove_duplicates(docs.select("doc_id", "text", "lang", "source", "n_chars"))
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return cut.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
+    cut = remove_duplicates(docs)
+    kept_text, _, n_removed, _ = (F.col(c) for c in cut.columns[len(docs.columns) :])
+    new = {"text": kept_text, "n_chars": F.length(kept_text).cast("long")}
+    columns = [F.when(n_removed > 0, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
+    return cut.select(*columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
