@@ -79,10 +79,11 @@ def rank(df: DataFrame) -> Column:
 
 def keep_first(df: DataFrame, grouped: DataFrame) -> DataFrame:
     """``df`` with one row of each component; ``grouped`` (component, first) holds the ranks of all rows."""
-    first = grouped.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias("first_key"))
-    name = prefixed(df, ["first_key"], "key")
+    of_first = prefixed(df, [], "first_key")
+    name = prefixed(df, [of_first], "key")
+    first = grouped.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.key").alias(of_first))
     kept = df.withColumn(name, row_key(df))
-    return kept.join(first, kept[name] == F.col("first_key"), "left_semi").dropDuplicates([name]).drop(name)
+    return kept.join(first, F.col(name) == F.col(of_first), "left_semi").dropDuplicates([name]).drop(name)
 
 
 def prefixed(df: DataFrame, taken: set[str] | list[str], wanted: str) -> str:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, staged, table, text_key
+from .common import prefixed, shared_folder, staged, table, text_key
 from .words import ALNUM, text_slices
 
 WINDOW = 10
@@ -150,28 +150,27 @@ def _search(batch: pa.RecordBatch, row: int, searches: list, slop: int) -> np.nd
 
     hits = []
     for item, length, by_rarity in searches:
-        starts = None
+        starts = doc = None
         for term, offset in by_rarity:
             places = postings(term)
             if places is None:
                 starts = None
                 break
             if starts is None:
-                starts = places - offset
+                starts, doc = places - offset, np.searchsorted(first_word, places, side="right") - 1
                 continue
-            at = np.searchsorted(places, starts + (offset - slop))
-            at[at == len(places)] = 0
-            gap = places[at] - starts - offset
-            starts = starts[(gap <= slop) & (gap >= -slop)]
+            # The first place near enough in the same document.
+            at = np.searchsorted(places, np.maximum(starts + (offset - slop), first_word[doc]))
+            near = places[np.minimum(at, len(places) - 1)]
+            held = (at < len(places)) & (near <= starts + (offset + slop)) & (near < first_word[doc + 1])
+            starts, doc = starts[held], doc[held]
             if not len(starts):
                 break
         if starts is not None and len(starts):
-            doc = np.searchsorted(first_word, starts, side="right") - 1
-            inside = (starts >= 0) & (starts + length <= first_word[np.minimum(doc + 1, len(first_word) - 1)])
-            starts, doc = starts[inside], doc[inside]
-            if len(starts):
-                base = starts - first_word[doc]
-                hits.append(np.stack([np.full(len(starts), item), doc, base, base + length], axis=1))
+            # With slop, a match may begin or end beyond its document by as many words: only those inside are hit.
+            base = np.maximum(starts - first_word[doc], 0)
+            end = np.minimum(starts + length, first_word[doc + 1]) - first_word[doc]
+            hits.append(np.stack([np.full(len(starts), item), doc, base, end], axis=1))
     if not hits:
         return np.empty((0, 4), dtype=np.int64)
     all_ = np.concatenate(hits)
@@ -243,8 +242,9 @@ def contamination(docs: DataFrame, tests: DataFrame, size: int = WINDOW, slop: i
 
 def drop_contaminated(docs: DataFrame, tests: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a test window."""
-    hit = contamination(docs, tests, size).where("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"))
-    same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (text_key(docs["text"]) == F.col("hit_key"))
+    hit_id, hit_key = prefixed(docs, [], "hit_id"), prefixed(docs, [], "hit_key")
+    hit = contamination(docs, tests, size).where("n_hit > 0").select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key))
+    same = docs["doc_id"].eqNullSafe(F.col(hit_id)) & (text_key(docs["text"]) == F.col(hit_key))
     return docs.join(hit.distinct(), same, "left_anti")
 
 

@@ -7,9 +7,9 @@ its key is exhausted. Then rows are exchanged once. A round returns at most ``sh
 
 A splitter falls between different texts while the tolerance allows; a text whose copies outweigh it is divided by id.
 
-Cases: null text has size 1 and sorts by the hash of the empty text; a null id hashes as null; rows equal in id and text
-have one key and stay together; other columns are kept (names given here get leading underscores on a clash); an empty
-table gives an empty result.
+Cases: null text has size 1 and sorts by the hash of the empty text; a null id hashes as null; rows equal in id and text are
+numbered, so that they can be divided like copies with different ids; other columns are kept (names given here get leading
+underscores on a clash); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -104,15 +104,36 @@ def shard_of(k1: Column, k2: Column, splitters: list[tuple[int, int]], low: int
     )
 
 
+def _tell_apart(keyed: DataFrame, repeated: DataFrame, k1: str, k2: str, folder: str) -> DataFrame:
+    """``keyed`` with other second keys for rows that share both keys, as many as there are rows."""
+    names = [prefixed(keyed, [], "of1"), prefixed(keyed, [], "of2")]
+    repeated = repeated.select(F.col("k1").alias(names[0]), F.col("k2").alias(names[1]))
+    same = (F.col(k1) == F.col(names[0])) & (F.col(k2) == F.col(names[1]))
+    number = F.monotonically_increasing_id()
+    several = keyed.join(repeated, same, "left_semi").withColumn(k2, F.shiftrightunsigned(F.xxhash64(F.col(k2), number), 1))
+    # Numbers are used only as they were written.
+    return keyed.join(repeated, same, "left_anti").unionByName(staged(several, folder, "repeated_rows"))
+
+
 def shard_documents(
     docs: DataFrame, shards: int, id_column: str = "doc_id", text_column: str = "text", tolerance: float = TOLERANCE
 ) -> DataFrame:
     """``docs`` with shard (from 0), slot (gapless from 0 in each shard) and size; shards have nearly equal bytes."""
     spark = docs.sparkSession
-    names = {n: prefixed(docs, [], n) for n in ("shard", "slot", "size", "k1", "k2", "part")}
+    wanted = ("shard", "slot", "size", "k1", "k2", "part", "base", "base_shard", "base_part")
+    names = {n: prefixed(docs, [], n) for n in wanted}
+    folder = shared_folder(spark)
     k1, k2 = row_keys(docs[id_column], docs[text_column])
-    narrow = docs.select(k1.alias("k1"), k2.alias("k2"), row_size(docs[text_column]).alias("size"))
-    narrow = staged(narrow, shared_folder(spark), "keys")
+    keyed = docs.withColumns({names["k1"]: k1, names["k2"]: k2, names["size"]: row_size(docs[text_column])})
+
+    def keys_of(rows: DataFrame, name: str) -> DataFrame:
+        return staged(rows.select(*(F.col(names[n]).alias(n) for n in ("k1", "k2", "size"))), folder, name)
+
+    narrow = keys_of(keyed, "keys")
+    repeated = narrow.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1")
+    if repeated.head(1):
+        keyed = _tell_apart(keyed, staged(repeated, folder, "repeated"), names["k1"], names["k2"], folder)
+        narrow = keys_of(keyed, "numbered_keys")
     splitters = find_splitters(narrow, shards, tolerance)
     # Slots: rows are numbered in parts of a shard, and a part begins where the parts before it end.
     bits = max(6, math.ceil(math.log2(max(1, narrow.count() / shards / SLOT_ROWS))))
@@ -125,16 +146,18 @@ def shard_documents(
     counted = place(narrow, F.col("k1"), F.col("k2")).groupBy(names["shard"], names["part"]).agg(F.count("*").alias("rows"))
     before = F.sum("rows").over(Window.partitionBy(names["shard"]).orderBy(names["part"]).rowsBetween(Window.unboundedPreceding, -1))
     bases = counted.select(
-        F.col(names["shard"]).alias("base_shard"), F.col(names["part"]).alias("base_part"), F.coalesce(before, F.lit(0)).alias("base")
-    )
-    keyed = docs.withColumns({names["k1"]: k1, names["k2"]: k2, names["size"]: row_size(docs[text_column])})
+        F.col(names["shard"]).alias(names["base_shard"]), F.col(names["part"]).alias(names["base_part"]),
+        F.coalesce(before, F.lit(0)).alias(names["base"]),
+    )
     keyed = place(keyed, F.col(names["k1"]), F.col(names["k2"]))
     within = Window.partitionBy(names["shard"], names["part"]).orderBy(names["k1"], names["k2"])
     numbered = keyed.withColumn(names["slot"], F.row_number().over(within) - 1)
-    joined = numbered.join(bases, (F.col(names["shard"]) == F.col("base_shard")) & (F.col(names["part"]) == F.col("base_part")))
+    joined = numbered.join(
+        bases, (F.col(names["shard"]) == F.col(names["base_shard"])) & (F.col(names["part"]) == F.col(names["base_part"]))
+    )
     return joined.select(
-        *(docs[c] for c in docs.columns), names["shard"],
-        (F.col("base") + F.col(names["slot"])).cast("long").alias(names["slot"]), names["size"],
+        *(F.col(f"`{c}`") for c in docs.columns), names["shard"],
+        (F.col(names["base"]) + F.col(names["slot"])).cast("long").alias(names["slot"]), names["size"],
     )
 
 

@@ -122,7 +122,8 @@ def allocate(n: int, both: np.ndarray, tau: int = TAU) -> list[tuple[list[int],
             width, row = len(bits), [0.0]
             for t in range(min(tau, width) + 1):
                 shared = sum(distance[h] * comb(width - h, t - h) for h in range(t + 1))
-                row.append(n * comb(width, t) * PROBE_COST + n * n / 2 * shared * PAIR_COST)
+                # A probe is never free, so few fingerprints do not make a plan of many masks.
+                row.append(max(n, 1) * comb(width, t) * PROBE_COST + n * n / 2 * shared * PAIR_COST)
             costs.append(row)
         # Thresholds plus one add up to tau + 1.
         table_ = {0: (0.0, [])}
@@ -258,6 +259,8 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
 def _linked(nodes: DataFrame, folder: str, tau: int) -> DataFrame:
     """Links (u, v) of ``nodes`` (fingerprint, node)."""
     n, both = _bit_statistics(nodes)
+    if n < 2:  # nothing to link, and no statistics to plan by
+        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     return links(_divide(probes(nodes, allocate(n, both, tau)), folder, tau), tau)
 
 
