@@ -11,16 +11,23 @@ memory follows the longest stretch without a boundary instead of the longest tex
 This holds for tokenizers with a pre-tokenizer and without normalizer, as the byte-level ones; for others, texts are
 encoded whole.
 
+Within a text of ordinary size the tokens of a pre-token depend on nothing else, and most pre-tokens come up again and
+again. Where the tokenizer splits by the byte-level pattern, each worker stores the number of tokens of up to
+``STORE_PIECES`` pre-tokens, as the library gives them. Texts with a special string, or with characters outside the
+blocks where that pattern's classes are beyond doubt (``_KNOWN``), go to the library whole.
+
 Cases: null and empty texts have 0 tokens and 0 bytes; repeated rows each get a result; other columns are ignored; an
 empty table gives an empty result. Special strings inside texts are handled as the library does by default.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +39,17 @@ MARGIN = 64
 """More than any look-ahead of the pre-tokenizer and than any special token."""
 BATCH_CHARS = 1 << 18
 LIMIT = 1024
+STORE_PIECES = 250_000
+"""Pre-tokens stored before the store grows old; an old store is kept for look-up until the next one is full."""
+
+# The byte-level pre-tokenizer's pattern, its white space spelled out for the blocks of _KNOWN.
+_SPACE = r"\t-\r \x85\xa0"
+_PIECE = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+    rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+)
+# Latin letters and their marks, and punctuation without the white space and separators among it.
+_KNOWN = regex.compile(r"[\x00-\u024f\u2010-\u2027\u2030-\u205e]*")
 
 
 def load(path: str):
@@ -96,6 +114,55 @@ def count_long(text: str, tokenizer, chunk: int = CHUNK_CHARS, overlap: int = OV
     return counted + total - skipped
 
 
+class PieceCounts:
+    """Numbers of tokens of texts, from those of pre-tokens met before."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = load(path)
+        form = json.loads(self.tokenizer.to_str())
+        before = form["pre_tokenizer"] or {}
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+        self.by_piece = bool(plain) and form["normalizer"] is None and not form["model"].get("dropout")
+        self.special = [token["content"] for token in form["added_tokens"]]
+        self.whole = form["normalizer"] is not None or form["pre_tokenizer"] is None
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def splits(self, text: str) -> bool:
+        return self.by_piece and _KNOWN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def count(self, text: str) -> int:
+        """Tokens of a text that ``splits``."""
+        pieces = _PIECE.findall(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            if len(self.known) > STORE_PIECES:
+                self.older, self.known = self.known, {}
+                found = [None] * len(pieces)
+            self._learn({p for p, n in zip(pieces, found, strict=True) if n is None})
+            return sum(map(self.known.__getitem__, pieces))
+        return sum(found)
+
+    def _learn(self, pieces: set[str]) -> None:
+        held = {p: n for p in pieces if (n := self.older.get(p)) is not None}
+        self.known.update(held)
+        new = [p for p in pieces if p not in held]
+        for k in range(0, len(new), 4096):
+            some = new[k : k + 4096]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            self.known.update(zip(some, (len(e.ids) for e in encoded), strict=True))
+
+
+_counters: dict[str, PieceCounts] = {}
+
+
+def worker_counts(path: str) -> PieceCounts:
+    """The counter of this Python worker, which Spark uses for many tasks."""
+    if path not in _counters:
+        _counters[path] = PieceCounts(path)
+    return _counters[path]
+
+
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens of every row of ``docs`` (doc_id, text), by the tokenizer file at ``path``.
 
@@ -103,8 +170,8 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
-        whole = tokenizer.normalizer is not None or tokenizer.pre_tokenizer is None
+        counter = worker_counts(path)
+        tokenizer, whole = counter.tokenizer, counter.whole
         for batch in batches:
             sizes, numbers = [], []
             waiting: list[str] = []
@@ -120,7 +187,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             for value in batch.column("text"):
                 text = value.as_py() or ""
                 sizes.append(len(text.encode()))
-                if len(text) <= CHUNK_CHARS or whole:
+                if len(text) <= CHUNK_CHARS and counter.splits(text):
+                    numbers.append(counter.count(text))
+                elif len(text) <= CHUNK_CHARS or whole:
                     places.append(len(numbers))
                     waiting.append(text)
                     numbers.append(0)
