@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,10 @@ from .common import prefixed, shared_folder, staged, table
 from .words import ALNUM, mix, text_slices
 
 MAX_PER_CLASS = 10_000
-PAIR_SLICE = 32 << 20
+PAIR_SLICE = 8 << 20
 """Bytes of text whose pairs of words are sent to the shared counts once."""
+PAIR_BLOCKS = 4
+"""The pairs are counted in so many blocks by word, one after the other: only one block of them is on disk at a time."""
 FIRST_WORD = np.uint64(0x5851F42D4C957F2D)
 STRONG = 1.5
 RARE = 6
@@ -163,18 +166,24 @@ def _shared_counts(docs: DataFrame) -> DataFrame:
     """word and shared: before how many different words each word was seen in all documents.
 
     A task sends each pair of words once for each slice of texts, and the pairs are counted over all documents, so copies
-    count once.
+    count once. The texts are read again for each block of words; what is kept of a block are its counts.
     """
+    folder = shared_folder(docs.sparkSession)
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for s in text_slices(batch.column("text"), ALNUM, lower=True, slice_bytes=PAIR_SLICE):
-                before, words = _words(s)
-                _, first = np.unique(_pair(before, words), return_index=True)
-                yield pa.record_batch({"before": pa.array(before[first].view(np.int64)), "word": pa.array(words[first].view(np.int64))})
+    def pairs_of(block: int) -> DataFrame:
+        def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for s in text_slices(batch.column("text"), ALNUM, lower=True, slice_bytes=PAIR_SLICE):
+                    before, words = _words(s)
+                    mine = words % np.uint64(PAIR_BLOCKS) == block
+                    before, words = before[mine], words[mine]
+                    _, first = np.unique(_pair(before, words), return_index=True)
+                    yield pa.record_batch({"before": pa.array(before[first].view(np.int64)), "word": pa.array(words[first].view(np.int64))})
+
+        return docs.select("text").mapInArrow(pairs, "before bigint, word bigint").distinct()
 
-    different = docs.select("text").mapInArrow(pairs, "before bigint, word bigint").distinct()
-    return different.groupBy("word").agg(F.count("*").alias("shared"))
+    counted = [staged(pairs_of(b).groupBy("word").agg(F.count("*").alias("shared")), folder, f"block{b}") for b in range(PAIR_BLOCKS)]
+    return reduce(DataFrame.unionByName, counted)
 
 
 def _discount(ones: int, twos: int) -> float:
@@ -223,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
 
     # Words: continuation counts of the class, backed off to the shared ones. All words of the teaching texts are among
     # those of all documents; a word that neither class knows has the ratio of the back-off weights, its shared part cancels.
-    shared = staged(_shared_counts(docs), folder, "shared")
+    shared = _shared_counts(docs)
     total = shared.agg(F.sum("shared")).first()[0] or 1
     back = [d_lower[c] * lower[f"types_c{c}"] / max(lower[f"c{c}"], 1) for c in (0, 1)]
     p = [F.greatest(F.col(f"c{c}") - d_lower[c], F.lit(0.0)) / max(lower[f"c{c}"], 1) + back[c] * F.col("shared") / total for c in (0, 1)]
