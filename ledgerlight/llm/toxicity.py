@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import prefixed, shared_folder, staged, table
+from .common import discard, prefixed, shared_folder, staged, table
 from .words import ALNUM, mix, text_slices
 
 MAX_PER_CLASS = 10_000
@@ -190,8 +190,11 @@ def _discount(ones: int, twos: int) -> float:
     return ones / (ones + 2 * twos) if ones and twos else 0.5
 
 
-def _fetch(df: DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of ``keys`` (a word, or a word and the one before it), ascending, log ratios, and which are rare: all rows."""
+def _fetch(df: DataFrame, keys: list[str], folder: str, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of ``keys`` (a word, or a word and the one before it), ascending, log ratios, and which are rare: all rows.
+
+    They are written first, so that the shuffles that they come from are dropped before the next ones begin.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,7 +202,9 @@ def _fetch(df: DataFrame, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.n
             of = _pair(*of) if len(of) == 2 else of[0]
             yield pa.record_batch({"key": pa.array(of.view(np.int64)), "ratio": pa.array(np.asarray(batch.column("ratio")).astype(np.float32)), "rare": batch.column("rare")})
 
-    got = df.select(*keys, "ratio", "rare").mapInArrow(hashed, "key bigint, ratio float, rare boolean").toArrow()
+    hashes = df.select(*keys, "ratio", "rare").mapInArrow(hashed, "key bigint, ratio float, rare boolean")
+    got = staged(hashes, folder, name).toArrow()
+    discard(df.sparkSession, folder, name)
     key, ratio, rare = (got.column(c).to_numpy() for c in ("key", "ratio", "rare"))
     order = np.argsort(key.view(np.uint64))
     return key.view(np.uint64)[order], ratio[order], rare.astype(bool)[order]
@@ -239,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     words = of_word.join(shared, "word").select("word", p[0].alias("p0"), p[1].alias("p1"), (F.col("c0") + F.col("c1") < RARE).alias("rare"))
     words = staged(words, folder, "word_terms")
     model = Model(other_word=float(np.log(back[1] / back[0])))
-    model.words, model.word_ratio, model.word_rare = _fetch(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio"), "rare"), ["word"])
+    model.words, model.word_ratio, model.word_rare = _fetch(words.select("word", F.log(F.col("p1") / F.col("p0")).alias("ratio"), "rare"), ["word"], folder, "word_ratios")
 
     # Contexts and bigrams: bigrams are discounted, what is taken off a context goes to its words' lower order.
     left = [F.greatest(F.col(f"n{c}") - d_upper[c], F.lit(0.0)) for c in (0, 1)]
@@ -247,11 +252,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     weight = [F.when(F.col(f"t{c}") > 0, F.greatest(1 - F.col(f"k{c}") / F.col(f"t{c}"), F.lit(1e-3))).otherwise(1.0) for c in (0, 1)]
     contexts = staged(contexts.select("before", "t0", "t1", weight[0].alias("w0"), weight[1].alias("w1")), folder, "context_terms")
     ratio = F.log(F.col("w1") / F.col("w0")).alias("ratio")
-    model.contexts, model.context_ratio, _ = _fetch(contexts.select("before", ratio, F.lit(False).alias("rare")), ["before"])
+    model.contexts, model.context_ratio, _ = _fetch(contexts.select("before", ratio, F.lit(False).alias("rare")), ["before"], folder, "context_ratios")
     both = [left[c] / F.greatest(F.col(f"t{c}"), F.lit(1)) + F.col(f"w{c}") * F.col(f"p{c}") for c in (0, 1)]
     rare = (F.col("n0") + F.col("n1") < RARE).alias("rare")
     bigrams = counted.join(words.drop("rare"), "word").join(contexts, "before").select("before", "word", F.log(both[1] / both[0]).alias("ratio"), rare)
-    model.bigrams, model.bigram_ratio, model.bigram_rare = _fetch(bigrams, ["before", "word"])
+    model.bigrams, model.bigram_ratio, model.bigram_rare = _fetch(bigrams, ["before", "word"], folder, "bigram_ratios")
+    for name in ("bigrams", "words", "word_terms", "context_terms"):
+        discard(docs.sparkSession, folder, name)
 
     # Score: logistic regression on texts that taught no counts, weighted to the classes' true shares.
     names = [f"f{k}" for k in range(N_FEATURES)]
