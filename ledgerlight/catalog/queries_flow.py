@@ -25,10 +25,7 @@ from .tables import AS_OF, COMPANY, END, START
 
 
 def _new_folder(t, name: str) -> str:
-    folder = shared_folder(t.spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 # ---------------------------------------------------------------------- boards

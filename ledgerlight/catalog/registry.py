@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -36,13 +37,22 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
-_tables: dict[tuple[str, str], Tables] = {}
+_tables: dict[tuple[str, str, str], Tables] = {}
+
+
+def folder_state(spark: SparkSession, folder: str) -> str:
+    """Changes with any file of the folder: names, sizes and times (driver metadata only)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    listed = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found)
+    return hashlib.sha256(repr(listed).encode()).hexdigest()[:12]
 
 
 def tables_of(spark: SparkSession, folder: str) -> Tables:
-    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    """The tables of a folder; new ones when its files have changed."""
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"), folder_state(spark, folder))
     if key not in _tables or _tables[key].spark is not spark:
-        _tables[key] = Tables(spark, folder)
+        _tables[key] = Tables(spark, folder, key[2])
     return _tables[key]
 
 

@@ -3,8 +3,8 @@
 The marts are read by nearly every indicator, so they are written once, the
 facts partitioned by month, to the shared folder that the session names in
 ``spark.checkpoint.dir``. A written table needs no lineage: a lost executor
-costs nothing but its own tasks. On a cluster without that setting nothing is
-written and every query computes its marts in its own plan.
+costs nothing but its own tasks. A cluster must name such a folder; only on a
+local master, as in tests, a temporary one serves.
 """
 
 from __future__ import annotations
@@ -22,14 +22,14 @@ from ..sinks.tables import with_month
 _local_folder: dict[str, str] = {}
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder for derived tables, ``None`` when the cluster names none."""
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for derived tables, which driver and executors share."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     app = spark.sparkContext.applicationId
     if named:
         return f"{named.rstrip('/')}/ledgerlight/{app}"
     if not spark.sparkContext.master.startswith("local"):
-        return None
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if app not in _local_folder:
         _local_folder[app] = tempfile.mkdtemp(prefix="ledgerlight-")
     return _local_folder[app]
@@ -39,14 +39,12 @@ _staged: dict[tuple[str, str, str], str] = {}
 
 
 def staged(spark: SparkSession, source: str, name: str, df: DataFrame, date_column: str | None = None) -> DataFrame:
-    """``df`` written and read back, by month of a date; once per application and source.
+    """``df`` written and read back, by month of a date; once per application and state of the source.
 
     Being plain files, the tables have true sizes: Spark broadcasts a dimension in
     a join when its files are small and shuffles it when they are not.
     """
     folder = shared_folder(spark)
-    if folder is None:
-        return df
     key = (spark.sparkContext.applicationId, source, name)
     schema = df.schema
     if date_column:

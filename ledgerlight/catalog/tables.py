@@ -31,9 +31,11 @@ def text(column: str):
 class Tables:
     """Lazy views over one folder of test tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, state: str = ""):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        # What derived tables are kept by: the folder and the state of its files.
+        self.source = f"{self.folder} {state}"
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -183,7 +185,7 @@ class Tables:
 
     @cached_property
     def products(self) -> DataFrame:
-        return staged(self.spark, self.folder, "products", self.build_products())
+        return staged(self.spark, self.source, "products", self.build_products())
 
     @cached_property
     def parties(self) -> DataFrame:
@@ -220,7 +222,7 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return staged(self.spark, self.folder, "customers", self.build_customers())
+        return staged(self.spark, self.source, "customers", self.build_customers())
 
     @cached_property
     def reps(self) -> DataFrame:
@@ -243,7 +245,7 @@ class Tables:
 
     @cached_property
     def sellers(self) -> DataFrame:
-        return staged(self.spark, self.folder, "sellers", self.build_sellers())
+        return staged(self.spark, self.source, "sellers", self.build_sellers())
 
     @cached_property
     def seller_map(self) -> DataFrame:
@@ -268,15 +270,12 @@ class Tables:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return staged(self.spark, self.folder, "sales", self.build_sales(), "data_emissao")
+        return staged(self.spark, self.source, "sales", self.build_sales(), "data_emissao")
 
     @cached_property
     def rollups(self) -> SalesRollups:
         """The rollups of the sales, stored next to them."""
-        folder = shared_folder(self.spark)
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        path = f"{folder}/rollups-{uuid.uuid4().hex[:12]}"
+        path = f"{shared_folder(self.spark)}/rollups-{uuid.uuid4().hex[:12]}"
         months = [r[0] for r in self.sales.select(MONTH_PARTITION).distinct().collect()]  # one for each month
         source = {part_name(MONTH_PARTITION, month): "1" for month in months}
         store_rollups(self.spark, monthly_sales(self.sales.drop("empresa")), source, path)
@@ -284,7 +283,7 @@ class Tables:
 
     @cached_property
     def campaign_days(self) -> DataFrame:
-        return staged(self.spark, self.folder, "campaign_days", campaign_days(self.tagged_sales))
+        return staged(self.spark, self.source, "campaign_days", campaign_days(self.tagged_sales))
 
     @cached_property
     def order_export(self) -> DataFrame:
@@ -316,7 +315,7 @@ class Tables:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return staged(self.spark, self.folder, "orders", self.build_orders(), "data_pedido")
+        return staged(self.spark, self.source, "orders", self.build_orders(), "data_pedido")
 
     @cached_property
     def invoice_export(self) -> DataFrame:

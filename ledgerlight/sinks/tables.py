@@ -263,6 +263,8 @@ def upsert_days(
     spark = df.sparkSession
     load = manifest.Load(spark, path)
     stored = _stored(spark, path, load)
+    if stored is not None and date_column not in stored.columns:
+        stored = None  # a version of an earlier layout, whose rows the caller brings along
     first = not load.before.sets
     schema = df.schema
 
@@ -272,6 +274,8 @@ def upsert_days(
     fresh = latest_per_key(df, key, order_by)
     fresh = fresh.withColumn(_BUCKET, bucket_of(key, buckets))
     load.write(fresh, _BUCKET, _LANDED)
+    if stored is not None and not load.written(_LANDED):
+        return  # nothing to put in: the table stays as it is
     landed = load.held(fresh.schema, _BUCKET, _LANDED)
     if stored is None:
         load.write(landed.select(*df.columns), date_column)

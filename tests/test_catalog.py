@@ -13,6 +13,8 @@ ORACLES = oracle_statements()
 WRITERS = {
     "refresh_from_exports", "refresh_full_then_window", "visits_stream_daily", "visits_stream_table", "replace_table",
     "replace_company", "replace_window", "sync_field_tables", "read_export", "read_field_app", "read_seed_types",
+    "window_redated", "line_moved_out", "full_keeps_older_years", "visit_changes_day", "visits_stream_corrected",
+    "visits_stream_closed_days", "conversion_failures", "rollups_after_window",
 }
 
 

@@ -313,6 +313,21 @@ def test_field_app_mirror(spark, folder):
     visits = sinks.read_table(spark, f"{folder}/visits")
     # Gone at the source but kept; a known visit keeps its seller.
     assert rows(visits, "id", "cod_vendedor", "observacao") == [("1", "V1", "um"), ("2", "V1", "dois"), ("3", "V2", "dois"), ("4", "V2", "dois")]
+    # A mirror of an earlier release, which was written as a whole, is taken over.
+    older = landed("um", "V1", ["1", "2"])["visits"]
+    sinks.replace_table(older, f"{folder}/old/visits")
+    field_app.sync_visits(spark, landed("dois", "V2", ["2", "3"])["visits"], f"{folder}/old/visits")
+    taken = sinks.read_table(spark, f"{folder}/old/visits")
+    assert rows(taken, "id", "cod_vendedor", "observacao") == [("1", "V1", "um"), ("2", "V1", "dois"), ("3", "V2", "dois")]
+    # A sync that changes nothing writes nothing; one that changes a visit's day moves it.
+    state = manifest.current(spark, f"{folder}/visits")
+    again = landed("dois", "V3", ["2", "3", "4"])
+    field_app.sync_field_tables(spark, again, folder)
+    assert manifest.current(spark, f"{folder}/visits") == state
+    moved = again["visits"].withColumn("timestamp", F.lit(dt.datetime(2024, 5, 2, 1)))
+    field_app.sync_field_tables(spark, {**again, "visits": moved.filter("id = '3'")}, folder)
+    visits = sinks.read_table(spark, f"{folder}/visits")
+    assert rows(visits, "id", "cod_vendedor", "dia") == [("1", "V1", None), ("2", "V1", None), ("3", "V2", day(1)), ("4", "V2", None)]
     assert rows(sinks.read_table(spark, f"{folder}/users"), "nome") == [("dois",)]
     assert rows(sinks.read_table(spark, f"{folder}/goals"), "meta_visitas") == [(3,)]
 

@@ -66,6 +66,10 @@ def test_source_statements():
     for part in ("NOT IN ('REMESSA POLP', 'TRANSFERENCI', 'LOGISTICA')", "<> 'O''BRIEN'", "NOT LIKE '60.%'", "<> 6",
                  'i."nr-pedcli" >= 6003', 'i."nr-pedcli" < 6008', 'i."qt-pedida" * i."vl-preori" AS valor_total_venda'):
         assert part in sql
+    sql = database.source_query("invoice_lines", numbers=["1", "O'2"])
+    assert sql.endswith("IN ('1', 'O''2')") and "BETWEEN" not in sql
+    for entity in ("invoice_lines", "orders"):
+        assert database.SOURCES[entity].number in database.SOURCES[entity].columns
     assert "6003" in database.source_query("registrations", rep_range=(6003, 6008))
     for entity, table in database.SOURCES.items():
         assert ["empresa", *table.columns] == table.schema.names, entity
