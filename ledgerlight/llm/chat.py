@@ -2,9 +2,9 @@
 
 Each turn is formatted once, as a piece ``### <role>:\\n<text></turn>\\n`` with its place in the conversation's formatted
 text. Each assistant turn then becomes an example of its own: its context is the formatted text of all turns before it
-(and the header of its own), and the only trainable span is the reply. An example names its context by the end of that
-prefix, so the expansion is linear in the input even where one conversation holds a large part of all turns;
-``example_texts`` writes the prefixes out for those who want them, which is quadratic in a conversation's length by nature.
+(and the header of its own), and the only trainable span is the reply. Examples are written out whole. That is quadratic in
+a conversation's length by nature; the turns cross the network once, as examples are built where their conversation was
+ordered, and the prefixes that examples of one conversation share lie next to each other in the files and compress well.
 
 Inside texts and roles, a backslash stands before every backslash, ``#`` and ``<`` (in roles also ``:`` and line feed), so
 no text can hold a mark, and ``unescape`` gives the text back exactly.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_folder, staged, table
 
 # The marks of the template.
 OPEN, AFTER_ROLE, CLOSE = "### ", ":\n", "</turn>\n"
@@ -60,29 +60,23 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def expand(pieces: DataFrame) -> DataFrame:
-    """One row per assistant turn: conv_id, target_turn, context_to, loss_from, loss_to, example_chars, reply.
+    """One row per assistant turn: conv_id, target_turn, example, loss_from, loss_to.
 
-    The example is the conversation's formatted text up to ``example_chars``; all before ``loss_from`` is context and
-    only ``loss_from`` to ``loss_to`` is trainable. ``reply`` is that span as formatted.
+    ``example`` is the formatted text up to the end of the turn; all before ``loss_from`` (characters) is context, and only
+    ``loss_from`` to ``loss_to`` is trainable. The running list needs no exchange beyond that of ``format_turns``.
     """
-    header = F.col("text_from") - F.col("piece_from")
-    return pieces.where("is_target").select(
-        "conv_id", F.col("turn_no").alias("target_turn"), F.col("piece_from").alias("context_to"),
+    so_far = Window.partitionBy("conv_id").orderBy("turn_no").rowsBetween(Window.unboundedPreceding, 0)
+    running = pieces.select("conv_id", "turn_no", "text_from", "text_to", "is_target", F.collect_list("piece").over(so_far).alias("parts"))
+    return running.where("is_target").select(
+        "conv_id", F.col("turn_no").alias("target_turn"), F.array_join("parts", "").alias("example"),
         F.col("text_from").alias("loss_from"), F.col("text_to").alias("loss_to"),
-        (F.col("text_to") + len(CLOSE)).alias("example_chars"),
-        F.col("piece").substr((header + 1).cast("int"), (F.col("text_to") - F.col("text_from")).cast("int")).alias("reply"),
     )
 
 
-def example_texts(pieces: DataFrame, examples: DataFrame) -> DataFrame:
-    """Examples with their whole text: conv_id, target_turn, example, loss_from, loss_to."""
-    own = pieces.select(F.col("conv_id").alias("piece_conv"), "turn_no", "piece")
-    joined = examples.join(own, F.col("conv_id").eqNullSafe(F.col("piece_conv")) & (F.col("turn_no") <= F.col("target_turn")))
-    ordered = F.array_sort(F.collect_list(F.struct("turn_no", "piece")))
-    texts = joined.groupBy("conv_id", "target_turn", "loss_from", "loss_to").agg(ordered.alias("parts"))
-    return texts.select(
-        "conv_id", "target_turn", F.array_join(F.col("parts.piece"), "").alias("example"), "loss_from", "loss_to"
-    )
+def read_replies(examples: DataFrame) -> DataFrame:
+    """The trainable text of each example, unescaped, and the example's length: conv_id, target_turn, reply, example_chars."""
+    span = F.col("example").substr((F.col("loss_from") + 1).cast("int"), (F.col("loss_to") - F.col("loss_from")).cast("int"))
+    return examples.select("conv_id", "target_turn", unescape(span).alias("reply"), F.length("example").cast("long").alias("example_chars"))
 
 
 def read_turns(pieces: DataFrame) -> DataFrame:
@@ -100,16 +94,17 @@ def read_turns(pieces: DataFrame) -> DataFrame:
 
 
 def op4_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of every conversation, read back from the pieces and examples."""
+    """Digests of every conversation, read back from the written turns and examples."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     special = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
-    pieces = format_turns(given.unionByName(special))
+    folder, formatted = shared_folder(spark), format_turns(given.unionByName(special))
+    pieces, examples = staged(formatted, folder, "turns"), staged(expand(formatted), folder, "examples")
     turns = read_turns(pieces).select("conv_id", "turn_no", "text", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("shown"))
-    replies = expand(pieces).select("conv_id", F.col("target_turn").alias("turn_no"), "example_chars", unescape(F.col("reply")).alias("reply"))
+    replies = read_replies(examples).withColumnRenamed("target_turn", "turn_no")
     rows = turns.select("conv_id", "turn_no", "shown", F.lit(None).cast("long").alias("example_chars"), F.lit(None).cast("string").alias("reply"))
     rows = rows.unionByName(replies.withColumn("shown", F.lit(None).cast("string")))
     # The contract's digests are of whole conversations, so here, and only here, the turns of one meet in one value.

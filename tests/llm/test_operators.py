@@ -149,7 +149,10 @@ def test_chat_examples(spark):
     back = sorted(((r.conv_id, r.turn_no, r.role, r.text) for r in chat.read_turns(pieces).collect()), key=repr)
     assert (1, 0, "user", "### x: \\# </turn>") in back and (3, 0, "a:\n### b", "") in back and (None, 0, "", "") in back and len(back) == len(odd)
     examples = chat.expand(pieces)
-    texts = chat.example_texts(pieces, examples).orderBy("target_turn").collect()
+    texts = examples.orderBy("target_turn").collect()
+    assert [(r.reply, r.example_chars) for r in chat.read_replies(examples).orderBy("target_turn").collect()] == [
+        ("", len(texts[0].example)), ("re\\ply <", len(texts[1].example)), ("re\\ply <", len(texts[2].example))
+    ]
     assert [r.example[r.loss_from : r.loss_to] for r in texts] == ["", "re\\\\ply \\<", "re\\\\ply \\<"]
     assert texts[1].example.startswith(texts[0].example) and examples.where("conv_id = 2").count() == 0
     assert chat.format_turns(turns.where("conv_id < 0")).count() == 0
