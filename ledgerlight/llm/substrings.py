@@ -1,10 +1,12 @@
 """Substring dedup by relative Lempel-Ziv parsing against an index of all documents.
 
 The reference of a document is every document with a smaller id. It is indexed by windows of ``WINDOW`` words: the index
-gives, for a window, the first document that holds it. A document is factored from left to right: a factor starts at a
-window found in the index and goes on while the next window is found in the same reference document. A plain greedy parse
-would go on behind the factor's last word and miss a copied passage that begins inside it, so the windows across each
-factor's end are looked up as well. Every factor is as long as a window at least, and its words are a duplicate span.
+gives, for a window, the first document that holds it and the place there. A document is factored from left to right: a
+factor starts at a window found in the index and goes on while the next window is found at the next place of the same
+reference, so a factor is one stretch of its reference, word by word. It ends where the first occurrences part; it is not
+searched for a later document that might go on for longer. A plain greedy parse would go on behind the factor's last word
+and miss a copied passage that begins inside it, so the windows across each factor's end are looked up as well: factors may
+overlap by less than a window. Every factor is as long as a window at least, and its words are a duplicate span.
 
 The index is not built for all windows. Each window has an anchor, its least hashed run of ``ANCHOR`` words, which equal
 windows share; a document has about one anchor for each four or five words. Step 1 finds the anchors that more than one
@@ -17,7 +19,7 @@ A window is identified by 95 bits of hash, on top of an anchor that two document
 chance of one false match is about one in 10^5.
 
 Cases: null and empty texts have no words; texts with fewer words than a window lose none; rows with equal doc_id are the
-same document and never each other's reference; a null doc_id counts as larger than all others; other columns are kept
+same document and never each other's reference (a factor's place is then that in one of them); a null doc_id counts as larger than all others; other columns are kept
 (names given here get leading underscores on a clash); an empty table gives an empty result.
 """
 
@@ -29,13 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .common import discard, prefixed, shared_folder, staged, table, text_key
 from .words import PLAIN, text_slices
 
 WINDOW, ANCHOR = 13, 6
 NO_ID = (1 << 63) - 1
+FACTOR = ("word_from", "word_to", "reference", "reference_from")
 
 
 def _anchors(s, words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,24 +96,27 @@ def _candidate_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
                 if held.any():
                     at, hashes, least, owner = at[held], hashes[held], least[held], owner[held]
                     row = s.rows.start + owner
+                    # The first place of each window in its document.
+                    lead = np.zeros(len(at), dtype=bool)
+                    lead[np.unique(hashes ^ (row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]] = True
                     second = ((least ^ (hashes << np.uint64(7))) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)
                     yield pa.record_batch(
                         {
                             "w1": pa.array(hashes.view(np.int64)), "w2": pa.array(second.astype(np.int32)),
                             "id": pa.array(ids[row]), "row_key": pa.array(keys[row]),
-                            "place": pa.array((at - s.first_word[owner]).astype(np.int32)),
+                            "place": pa.array((at - s.first_word[owner]).astype(np.int32)), "lead": pa.array(lead),
                         }
                     )
 
     columns = docs.select("id", "row_key", "text", "anchors")
-    return columns.mapInArrow(run, "w1 bigint, w2 int, id bigint, row_key bigint, place int")
+    return columns.mapInArrow(run, "w1 bigint, w2 int, id bigint, row_key bigint, place int, lead boolean")
 
 
 def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[DataFrame, str]:
     """What to take from each document, and the folder that holds it.
 
     ``docs``: id (not null), row_key, text. Rows: row_key, whole (an exact copy: all windows), found (place of a window,
-    and the reference document in which it starts first).
+    and the reference document in which it starts first, with the place there).
     """
     spark, folder = docs.sparkSession, shared_folder(docs.sparkSession)
     # Exact copies, by two independent hashes of the whole text.
@@ -130,67 +136,71 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     windows = staged(_candidate_windows(once, window, anchor), folder, "windows")
     discard(spark, folder, "shared")
 
-    first = windows.groupBy("w1", "w2").agg(F.min("id").alias("reference"), F.max("id").alias("last")).where("reference < last")
-    first = first.select(F.col("w1").alias("of1"), F.col("w2").alias("of2"), "reference")
+    place = F.min_by("place", F.when(F.col("lead"), F.col("id"))).alias("begin")
+    first = windows.groupBy("w1", "w2").agg(F.min("id").alias("reference"), F.max("id").alias("last"), place).where("reference < last")
+    first = first.select(F.col("w1").alias("of1"), F.col("w2").alias("of2"), "reference", "begin")
     found = windows.join(first, (F.col("w1") == F.col("of1")) & (F.col("w2") == F.col("of2"))).where("reference < id")
-    found = found.groupBy("row_key").agg(F.collect_set(F.struct("place", "reference")).alias("found"))
+    found = found.groupBy("row_key").agg(F.collect_set(F.struct("place", "reference", "begin")).alias("found"))
     marks = found.select("row_key", F.lit(None).cast("long").alias("whole"), "found")
-    whole = copies.select("row_key", F.col("first").alias("whole"), F.lit(None).cast("array<struct<place:int,reference:bigint>>").alias("found"))
+    whole = copies.select("row_key", F.col("first").alias("whole"), F.lit(None).cast("array<struct<place:int,reference:bigint,begin:int>>").alias("found"))
     marks = staged(marks.unionByName(whole), folder, "marks")
     discard(spark, folder, "windows")
     return marks, folder
 
 
-def _factors(places: np.ndarray, references: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Factors (first word, word after, reference) of windows found at ``places``, ascending."""
+def _factors(places: np.ndarray, references: np.ndarray, begins: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Factors (first word, word after, reference, first word there) of windows found at ``places``, ascending."""
     new = np.ones(len(places), dtype=bool)
-    new[1:] = (places[1:] != places[:-1] + 1) | (references[1:] != references[:-1])
+    new[1:] = (places[1:] != places[:-1] + 1) | (references[1:] != references[:-1]) | (begins[1:] != begins[:-1] + 1)
     begin = np.flatnonzero(new)
     last = np.append(begin[1:], len(places)) - 1
-    return list(zip(places[begin].tolist(), (places[last] + window).tolist(), references[begin].tolist(), strict=True))
+    columns = (places[begin], places[last] + window, references[begin], begins[begin])
+    return list(zip(*(c.tolist() for c in columns), strict=True))
 
 
 def remove_duplicates(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, text_column: str = "text") -> DataFrame:
     """``docs`` with kept_text (the words that stay, joined by a space), n_words, n_removed and factors.
 
-    ``factors`` has the duplicate spans: word_from, word_to, reference (the document in which they start first).
+    ``factors`` has the duplicate spans: word_from, word_to, reference (the document in which they start first) and
+    reference_from (the word there).
     """
     names = {n: prefixed(docs, [], n) for n in ("kept_text", "n_words", "n_removed", "factors")}
-    key, of_row, of_whole, of_found = (prefixed(docs, [], n) for n in ("row_key", "of_row", "of_whole", "of_found"))
+    key, of_row, of_whole, of_found, of_begin = (prefixed(docs, [], n) for n in ("row_key", "of_row", "of_whole", "of_found", "of_begin"))
     identity, text = F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.coalesce(docs[text_column], F.lit(""))
     row_key = F.xxhash64(identity, text_key(docs[text_column]))
     marks, _ = duplicate_windows(docs.select(identity.alias("id"), row_key.alias("row_key"), text.alias("text")), window, anchor)
     marks = marks.select(F.col("row_key").alias(of_row), F.col("whole").alias(of_whole), F.array_sort("found").alias(of_found))
     marked = docs.withColumn(key, row_key).join(marks, F.col(key) == F.col(of_row), "left")
     columns = docs.columns
-    marked = marked.select(*columns, of_whole, F.col(of_found)["place"].alias(of_row), F.col(of_found)["reference"].alias(of_found))
+    found = (F.col(of_found)[field].alias(name) for field, name in (("place", of_row), ("reference", of_found), ("begin", of_begin)))
+    marked = marked.select(*columns, of_whole, *found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(columns)
         for batch in batches:
             kept, numbers, removed, factors = [], [], [], []
-            whole, places, references = batch.column(n), batch.column(n + 1), batch.column(n + 2)
+            whole, found = batch.column(n), [batch.column(n + k) for k in (1, 2, 3)]
             for row, value in enumerate(batch.column(columns.index(text_column))):
                 words = (value.as_py() or "").encode().split()
-                spans: list[tuple[int, int, int]] = []
+                spans: list[tuple[int, int, int, int]] = []
                 if whole[row].is_valid and len(words) >= window:
-                    spans = [(0, len(words), whole[row].as_py())]
-                elif places[row].is_valid:
-                    spans = _factors(np.asarray(places[row].values), np.asarray(references[row].values), window)
+                    spans = [(0, len(words), whole[row].as_py(), 0)]
+                elif found[0][row].is_valid:
+                    spans = _factors(*(np.asarray(of[row].values) for of in found), window)
                 stay = np.ones(len(words), dtype=bool)
-                for a, b, _ in spans:
+                for a, b, *_ in spans:
                     stay[a:b] = False
                 numbers.append(len(words))
                 removed.append(len(words) - int(stay.sum()))
                 kept.append(b" ".join(words[k] for k in np.flatnonzero(stay)) if spans else b" ".join(words))
-                factors.append([{"word_from": a, "word_to": b, "reference": r} for a, b, r in spans])
+                factors.append([dict(zip(FACTOR, span, strict=True)) for span in spans])
             out = [
                 *batch.columns[:n], pa.array(kept, pa.binary()).cast(pa.string()), pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()),
-                pa.array(factors, pa.list_(pa.struct([("word_from", pa.int64()), ("word_to", pa.int64()), ("reference", pa.int64())]))),
+                pa.array(factors, pa.list_(pa.struct([(name, pa.int64()) for name in FACTOR]))),
             ]
             yield pa.RecordBatch.from_arrays(out, [*columns, *names.values()])
 
-    span = StructType().add("word_from", LongType()).add("word_to", LongType()).add("reference", LongType())
+    span = StructType([StructField(name, LongType()) for name in FACTOR])
     schema = StructType([*docs.schema.fields]).add(names["kept_text"], StringType()).add(names["n_words"], LongType())
     return marked.mapInArrow(run, schema.add(names["n_removed"], LongType()).add(names["factors"], ArrayType(span)))
 

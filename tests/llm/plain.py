@@ -42,6 +42,27 @@ def substring_dedup(rows, window=13):
     return sorted(out, key=repr)
 
 
+def factors(rows, window=13):
+    """doc_id -> (word_from, word_to, reference, reference_from) along the first occurrences of windows; ids are unique here."""
+    first, texts = {}, {d: words(t) for d, t in rows}
+    for d in sorted(texts):
+        for i in range(len(texts[d]) - window + 1):
+            first.setdefault(tuple(texts[d][i : i + window]), (d, i))
+    out = {}
+    for d, w in texts.items():
+        spans = []
+        for i in range(len(w) - window + 1):
+            of, at = first[tuple(w[i : i + window])]
+            if of == d:
+                continue
+            if spans and spans[-1][1] == i + window - 1 and spans[-1][2] == of and spans[-1][3] + i - spans[-1][0] == at:
+                spans[-1][1] = i + window
+            else:
+                spans.append([i, i + window, of, at])
+        out[d] = [tuple(x) for x in spans]
+    return out
+
+
 def contamination(rows, items, size=10):
     windows = defaultdict(set)
     for i, t in items:

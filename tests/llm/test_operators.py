@@ -109,6 +109,26 @@ def test_substring_dedup(spark, given, odd, empty):
     assert substrings.remove_duplicates(empty).count() == 0
 
 
+def test_factors_are_stretches_of_their_reference(spark):
+    """Passages that begin, break off and repeat at other places than in their first document, in few different words."""
+    rng = np.random.default_rng(7)
+    lines = [[f"w{x}" for x in rng.integers(0, 40, n)] for n in rng.integers(5, 60, 40)]
+    texts = [[w for k in rng.integers(0, 40, rng.integers(1, 12)) for w in lines[k][rng.integers(0, 4) :]] for _ in range(120)]
+    docs = [(d, " ".join(w)) for d, w in enumerate(texts)]
+    docs += [(200, docs[3][1]), (201, f"new {docs[3][1]}"), (202, " ".join(["a"] * 60)), (203, " ".join(["a"] * 50))]
+    got = substrings.remove_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    expected = plain.factors(docs)
+    expected[200] = [(0, len(docs[3][1].split()), 3, 0)]  # an exact copy is one factor of the first such text
+    given = dict(docs)
+    n = 0
+    for r in got.collect():
+        assert [tuple(x) for x in r.factors] == expected[r.doc_id], r.doc_id
+        for a, b, of, at in r.factors:
+            n += 1
+            assert of < r.doc_id and b - a >= 13 and given[r.doc_id].split()[a:b] == given[of].split()[at : at + b - a]
+    assert n > 300
+
+
 def test_null_id_is_the_last(spark):
     docs = spark.createDataFrame([(None, PASSAGE), (3, PASSAGE), (3, f"x {PASSAGE}")], "doc_id bigint, text string")
     assert rows(substrings.remove_duplicates(docs), "doc_id", "n_removed") == [(3, 0), (3, 0), (None, 15)]
