@@ -11,16 +11,17 @@ overlap by less than a window. Every factor is as long as a window at least, and
 The index is not built for all windows. Each window has an anchor, its least hashed run of ``ANCHOR`` words, which equal
 windows share; a document has about one anchor for each four or five words. Step 1 finds the anchors that more than one
 document holds. Step 2 takes them back to the documents, and only windows with a shared anchor go on. Step 3 finds each such
-window's first document and takes it back. Each step groups with partial minima and joins, so a passage in a third of all
-documents is no hot spot; each is written to the shared folder before the next. Exact copies of a whole text skip the
+window's first document and takes it back. Each step groups with partial minima; the windows of a passage in a third of all
+documents take their first document from a small table of frequent windows, the others by a join; each step is written to the shared folder before the next. Exact copies of a whole text skip the
 steps: all of their windows start in their first document.
 
 A window is identified by 95 bits of hash, on top of an anchor that two documents share: with 10^12 candidate windows the
 chance of one false match is about one in 10^5.
 
 Cases: null and empty texts have no words; texts with fewer words than a window lose none; rows with equal doc_id are the
-same document and never each other's reference (a factor's place is then that in one of them); a null doc_id counts as larger than all others; other columns are kept
-(names given here get leading underscores on a clash); an empty table gives an empty result.
+same document and never each other's reference (a factor's place is then that in one of them); a null doc_id counts as
+larger than all others; other columns are kept (names given here get leading underscores on a clash); an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from .words import PLAIN, text_slices
 
 WINDOW, ANCHOR = 13, 6
 NO_ID = (1 << 63) - 1
+# One window's greatest share of the rows of the join by hash is 1 in this number.
+HOT_KEYS = 10_000
 FACTOR = ("word_from", "word_to", "reference", "reference_from")
 
 
@@ -112,6 +115,19 @@ def _candidate_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return columns.mapInArrow(run, "w1 bigint, w2 int, id bigint, row_key bigint, place int, lead boolean")
 
 
+def _taken_back(windows: DataFrame, first: DataFrame) -> DataFrame:
+    """Windows with their first document and place.
+
+    A window that makes up more than one in ``HOT_KEYS`` of all rows is looked up in a broadcast table, which has fewer
+    than ``HOT_KEYS`` rows whatever the data are; so no task of the join by hash gets more than that share for one window.
+    """
+    same = (F.col("w1") == F.col("of1")) & (F.col("w2") == F.col("of2"))
+    frequent = F.col("n") * HOT_KEYS > windows.count()
+    hot = F.broadcast(first.where(frequent))
+    rest = windows.join(hot.select("of1", "of2"), same, "left_anti").join(first.where(~frequent), same)
+    return windows.join(hot, same).unionByName(rest)
+
+
 def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[DataFrame, str]:
     """What to take from each document, and the folder that holds it.
 
@@ -137,14 +153,16 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     discard(spark, folder, "shared")
 
     place = F.min_by("place", F.when(F.col("lead"), F.col("id"))).alias("begin")
-    first = windows.groupBy("w1", "w2").agg(F.min("id").alias("reference"), F.max("id").alias("last"), place).where("reference < last")
-    first = first.select(F.col("w1").alias("of1"), F.col("w2").alias("of2"), "reference", "begin")
-    found = windows.join(first, (F.col("w1") == F.col("of1")) & (F.col("w2") == F.col("of2"))).where("reference < id")
+    held = [F.min("id").alias("reference"), F.max("id").alias("last"), place, F.count(F.lit(1)).alias("n")]
+    first = windows.groupBy("w1", "w2").agg(*held).where("reference < last")
+    first = staged(first.select(F.col("w1").alias("of1"), F.col("w2").alias("of2"), "reference", "begin", "n"), folder, "first")
+    found = _taken_back(windows, first).where("reference < id")
     found = found.groupBy("row_key").agg(F.collect_set(F.struct("place", "reference", "begin")).alias("found"))
     marks = found.select("row_key", F.lit(None).cast("long").alias("whole"), "found")
     whole = copies.select("row_key", F.col("first").alias("whole"), F.lit(None).cast("array<struct<place:int,reference:bigint,begin:int>>").alias("found"))
     marks = staged(marks.unionByName(whole), folder, "marks")
     discard(spark, folder, "windows")
+    discard(spark, folder, "first")
     return marks, folder
 
 

@@ -109,8 +109,13 @@ def test_substring_dedup(spark, given, odd, empty):
     assert substrings.remove_duplicates(empty).count() == 0
 
 
-def test_factors_are_stretches_of_their_reference(spark):
-    """Passages that begin, break off and repeat at other places than in their first document, in few different words."""
+@pytest.mark.parametrize("hot_keys", [1, 500, 10_000])
+def test_factors_are_stretches_of_their_reference(spark, monkeypatch, hot_keys):
+    """Passages that begin, break off and repeat at other places than in their first document, in few different words.
+
+    No window, some and all of them are looked up as frequent ones.
+    """
+    monkeypatch.setattr(substrings, "HOT_KEYS", hot_keys)
     rng = np.random.default_rng(7)
     lines = [[f"w{x}" for x in rng.integers(0, 40, n)] for n in rng.integers(5, 60, 40)]
     texts = [[w for k in rng.integers(0, 40, rng.integers(1, 12)) for w in lines[k][rng.integers(0, 4) :]] for _ in range(120)]
