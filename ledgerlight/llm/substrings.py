@@ -12,7 +12,8 @@ The index is not built for all windows. Each window has an anchor, its least has
 windows share; a document has about one anchor for each four or five words. Step 1 finds the anchors that more than one
 document holds. Step 2 takes them back to the documents, and only windows with a shared anchor go on. Step 3 finds each such
 window's first document and takes it back. Each step groups with partial minima; the windows of a passage in a third of all
-documents take their first document from a small table of frequent windows, the others by a join; each step is written to the shared folder before the next. Exact copies of a whole text skip the
+documents take their first document from a small table of frequent windows, the others by a join, and so do copies of a
+frequent text; each step is written to the shared folder before the next. Exact copies of a whole text skip the
 steps: all of their windows start in their first document.
 
 A window is identified by 95 bits of hash, on top of an anchor that two documents share: with 10^12 candidate windows the
@@ -39,7 +40,7 @@ from .words import PLAIN, text_slices
 
 WINDOW, ANCHOR = 13, 6
 NO_ID = (1 << 63) - 1
-# One window's greatest share of the rows of the join by hash is 1 in this number.
+# The greatest share of one window, or one text, of the rows of a join by hash is 1 in this number.
 HOT_KEYS = 10_000
 FACTOR = ("word_from", "word_to", "reference", "reference_from")
 
@@ -115,17 +116,17 @@ def _candidate_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     return columns.mapInArrow(run, "w1 bigint, w2 int, id bigint, row_key bigint, place int, lead boolean")
 
 
-def _taken_back(windows: DataFrame, first: DataFrame) -> DataFrame:
-    """Windows with their first document and place.
+def _taken_back(rows: DataFrame, first: DataFrame, key1: str, key2: str) -> DataFrame:
+    """Rows with what is known of their key (``first``: of1, of2, n, the key's number of rows, and more).
 
-    A window that makes up more than one in ``HOT_KEYS`` of all rows is looked up in a broadcast table, which has fewer
-    than ``HOT_KEYS`` rows whatever the data are; so no task of the join by hash gets more than that share for one window.
+    A key that makes up more than one in ``HOT_KEYS`` of all rows is looked up in a broadcast table, which has fewer
+    than ``HOT_KEYS`` rows whatever the data are; so no task of the join by hash gets more than that share for one key.
     """
-    same = (F.col("w1") == F.col("of1")) & (F.col("w2") == F.col("of2"))
-    frequent = F.col("n") * HOT_KEYS > windows.count()
+    same = (F.col(key1) == F.col("of1")) & (F.col(key2) == F.col("of2"))
+    frequent = F.col("n") * HOT_KEYS > rows.count()
     hot = F.broadcast(first.where(frequent))
-    rest = windows.join(hot.select("of1", "of2"), same, "left_anti").join(first.where(~frequent), same)
-    return windows.join(hot, same).unionByName(rest)
+    rest = rows.join(hot.select("of1", "of2"), same, "left_anti").join(first.where(~frequent), same)
+    return rows.join(hot, same).unionByName(rest)
 
 
 def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[DataFrame, str]:
@@ -138,8 +139,9 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     # Exact copies, by two independent hashes of the whole text.
     texts = docs.select("id", "row_key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(11), "text").alias("t2"))
     texts = staged(texts, folder, "texts")
-    firsts = texts.groupBy("t1", "t2").agg(F.min("id").alias("first")).withColumnsRenamed({"t1": "of1", "t2": "of2"})
-    copies = texts.join(firsts, (F.col("t1") == F.col("of1")) & (F.col("t2") == F.col("of2"))).where("first < id")
+    firsts = texts.groupBy("t1", "t2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.where("first < last").withColumnsRenamed({"t1": "of1", "t2": "of2"})
+    copies = _taken_back(texts, staged(firsts, folder, "firsts"), "t1", "t2").where("first < id")
     copies = staged(copies.select("row_key", "first").groupBy("row_key").agg(F.min("first").alias("first")), folder, "copies")
 
     rows = _anchor_rows(docs, window, anchor)
@@ -156,7 +158,7 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
     held = [F.min("id").alias("reference"), F.max("id").alias("last"), place, F.count(F.lit(1)).alias("n")]
     first = windows.groupBy("w1", "w2").agg(*held).where("reference < last")
     first = staged(first.select(F.col("w1").alias("of1"), F.col("w2").alias("of2"), "reference", "begin", "n"), folder, "first")
-    found = _taken_back(windows, first).where("reference < id")
+    found = _taken_back(windows, first, "w1", "w2").where("reference < id")
     found = found.groupBy("row_key").agg(F.collect_set(F.struct("place", "reference", "begin")).alias("found"))
     marks = found.select("row_key", F.lit(None).cast("long").alias("whole"), "found")
     whole = copies.select("row_key", F.col("first").alias("whole"), F.lit(None).cast("array<struct<place:int,reference:bigint,begin:int>>").alias("found"))
