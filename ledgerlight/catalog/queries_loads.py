@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import portfolio, rollups
-from ..plans.pipelines import Lake, load_export
-from ..schemas import KEYS, LOCAL_ZONE, MONTH_PARTITION
+from ..operators import sales as sales_ops
+from ..operators.filters import spans_overlapping
+from ..plans.app_feed import load_campaigns, load_registrations_of_app, stored_registered, stored_sales_marts
+from ..plans.pipelines import Lake, follow_sales, load_export
+from ..schemas import FIELD_APP_ORIGIN, KEYS, LOCAL_ZONE, MONTH_PARTITION
 from ..sinks import rollups as stored_rollups
 from ..sinks import tables as sinks
 from ..sources.exports import EXPORTS
 from ..streaming import visits as visit_stream
+from .queries import _REQUEST_SQL, _requests
 from .queries_flow import _dated_visits, _landed_visits, _new_folder, _write_export
 from .registry import query
-from .tables import AS_OF, COMPANY, END, START
+from .tables import AS_OF, COMPANY, END, SELLER, START
 
 # ------------------------------------------------------- lines that change their date
 
@@ -249,3 +253,70 @@ def _(t):
     orders = rollups.distinct_numbers(numbers, "nr_pedido", "pedidos", ("mes",))
     invoices = rollups.distinct_numbers(numbers, "nr_nota", "notas", ("mes",))
     return sums.join(orders, "mes", "left").join(invoices, "mes", "left").fillna(0, ["pedidos", "notas"])
+
+
+# ------------------------------------------------------- what the sales app keeps
+
+
+def _land(df, landing: str, name: str) -> None:
+    df.write.json(f"{landing}/{name}")
+
+
+def _app_lake(t, name: str):
+    root = _new_folder(t, name)
+    return Lake(f"{root}/lake"), f"{root}/landing"
+
+
+@query(
+    "campaigns_of_app",
+    "nome:s data_inicio:s data_fim:s mecanica:s faturamento:d caixas:d",
+    f"""select c.nome, c.data_inicio, c.data_fim, c.mecanica, coalesce(f, 0) as faturamento, coalesce(x, 0) as caixas
+        from campaigns c left join (
+            select cast(it_codigo as bigint) % 30 as id, sum(com_sinal) as f, sum(movidas) as x from measured
+            where data_emissao < date '{CUTOFF}' or cod_cliente not like '%4' group by 1) t using (id)
+        where c.data_fim >= date '1998-01-01' and c.data_inicio <= date '1998-01-31'""",
+)
+def _(t):
+    """Campaigns of the stored board: tags landed, corrected, and followed by a window of sales without some customers."""
+    lake, landing = _app_lake(t, "campaigns_of_app")
+    sales = t.sales.drop(MONTH_PARTITION)
+    sinks.replace_fact(sales, lake.mart("sales"), COMPANY, "data_emissao")
+    follow_sales(t.spark, lake, COMPANY)
+    tagged = sales.select("nr_nota", "it_codigo", "cod_cliente", "estabel", (F.col("it_codigo").cast("bigint") % 30).alias("campanha_id"))
+    # Every line was first tagged with another campaign.
+    for number, change in (("1", 1), ("2", 0)):
+        marked = tagged.withColumn("campanha_id", F.col("campanha_id") + change)
+        at = F.lit(f"1998-01-0{number}T00:00:00Z").alias("alterado_em")
+        _land(marked.select("*", at), f"{landing}/{number}", "sale_tags")
+        _land(t.campaigns, f"{landing}/{number}", "campaigns")
+        load_campaigns(t.spark, lake, f"{landing}/{number}", COMPANY)
+    later = sales.filter(~F.col("cod_cliente").endswith("4"))
+    sinks.replace_window(later, lake.mart("sales"), COMPANY, "data_emissao", CUTOFF, KEYS["sales"])
+    follow_sales(t.spark, lake, COMPANY, CUTOFF)
+    held = stored_sales_marts(t.spark, lake, COMPANY)
+    wanted = spans_overlapping(held.campaigns, START, END)
+    totals = held.campaign_days.groupBy(F.col("campanha_id").alias("id"))
+    totals = totals.agg(F.sum("faturamento").alias("faturamento"), F.sum("caixas").alias("caixas"))
+    return sales_ops.campaign_lines(wanted, totals)
+
+
+@query(
+    "registrations_of_app",
+    "cod_vendedor:s qtd:i",
+    f"""select dono as cod_vendedor, count(*) as qtd from (
+            select case when c_acctbal > 8000 then '9' else '{SELLER}' end as dono, ordem
+            from ({_REQUEST_SQL}) r where motivo is null and c_mktsegment <> 'MACHINERY'
+            qualify row_number() over (partition by chave order by ordem) = 1) x
+        where ordem % 60 <= 30 group by 1""",
+)
+def _(t):
+    """Requests landed and loaded twice, the second time with later requests for the same codes."""
+    lake, landing = _app_lake(t, "registrations_of_app")
+    sinks.replace_table(t.customers, lake.mart("customers"))
+    asked = _requests(t).withColumn("recebido_em", F.date_add(F.lit(START).cast("date"), (F.col("ordem") % 60).cast("int")).cast("timestamp"))
+    _land(asked, f"{landing}/1", "requests")
+    _land(asked.withColumn("ordem", F.col("ordem") + F.lit(1 << 40)), f"{landing}/2", "requests")
+    for number in ("1", "1", "2"):
+        load_registrations_of_app(t.spark, lake, f"{landing}/{number}", COMPANY, SELLER)
+    held = stored_registered(t.spark, lake, COMPANY)
+    return sales_ops.registrations_by_seller(held, START, END, FIELD_APP_ORIGIN)

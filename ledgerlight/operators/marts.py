@@ -302,6 +302,19 @@ def orders_from_export(
     )
 
 
+def tag_sales(sales: DataFrame, tags: DataFrame) -> DataFrame:
+    """The sales that are tagged, with their campaign. ``tags`` holds one row for each tagged line of the same company.
+
+    An establishment that is not told, on either side, is the empty one.
+    """
+    line = ("nr_nota", "it_codigo", "cod_cliente")
+    marks = tags.filter(F.col("campanha_id").isNotNull()).select(
+        *line, F.coalesce("estabel", F.lit("")).alias("estabel_marcado"), "campanha_id"
+    )
+    marked = sales.withColumn("estabel_marcado", F.coalesce("estabel", F.lit("")))
+    return marked.join(marks, [*line, "estabel_marcado"]).drop("estabel_marcado")
+
+
 def build_goal_table(raw: DataFrame) -> DataFrame:
     """Monthly goals with their defaults, one row per seller and month."""
     zero = F.lit(0)

@@ -6,6 +6,7 @@ tables written before it are complete, the failing one is as it was.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from ..functions.periods import Day, last_days, month_slices
 from ..operators import marts
 from ..operators.filters import in_period
 from ..operators.monitoring import CONTRACTS, contract_checks, quarantine
+from ..operators.rollups import campaign_days
 from ..sinks import tables
 from ..sinks.field_app import sync_field_tables
 from ..sinks.rollups import refresh_rollups
@@ -49,6 +51,9 @@ class Lake:
     def quarantine(self, name: str) -> str:
         return f"{self.root}/stg/quarantine/{name}"
 
+    def app(self, name: str) -> str:
+        return f"{self.root}/app/{name}"
+
     @property
     def field(self) -> str:
         return f"{self.root}/crm"
@@ -183,13 +188,38 @@ def build_export_marts(spark: SparkSession, lake: Lake, company: str) -> None:
 
 
 def follow_sales(spark: SparkSession, lake: Lake, company: str, cutoff: Day | None = None) -> None:
-    """What hangs on the sales mart: its rollups, for the months that changed, and its contract."""
+    """What hangs on the sales mart: its rollups and campaigns, for the months that changed, and its contract."""
     with logged(spark, lake, "mart:sales_rollups") as step:
         months = refresh_rollups(spark, lake.mart("sales"), lake.mart("sales_rollups"), company)
         step.message = f"{len(months)} meses"
+    if months:
+        rebuild_campaign_days(spark, lake, company, months)
     check_mart(spark, lake, company, "sales", ("data_emissao", cutoff) if cutoff else None)
 
 
+def rebuild_campaign_days(spark: SparkSession, lake: Lake, company: str, months: set[str] | None = None) -> None:
+    """Days of the campaigns, from the first of the changed ``months`` on, or all of them; nothing where no sale is tagged."""
+    if not tables.table_exists(spark, lake.app("sale_tags")) or not tables.table_exists(spark, lake.mart("sales")):
+        return
+    with logged(spark, lake, "mart:campaign_days") as step:
+        path = lake.mart("campaign_days")
+        named = [month.split("=")[-1] for month in months or ()]
+        since = None
+        if named and tables.table_exists(spark, path) and all(re.fullmatch(r"\d{4}-\d{2}", m) for m in named):
+            since = f"{min(named)}-01"
+        sales = tables.read_table(spark, lake.mart("sales"), company, schemas.SALES)
+        tags = tables.read_table(spark, lake.app("sale_tags")).filter(F.col("empresa") == company)
+        days = campaign_days(marts.tag_sales(in_period(sales, "data_emissao", since) if since else sales, tags))
+        days = days.withColumn("empresa", F.lit(company)).select(
+            *(F.col(f.name).cast(f.dataType) for f in schemas.CAMPAIGN_DAYS)
+        )
+        if since:
+            tables.replace_window(days, path, company, "data_emissao", since)
+        else:
+            tables.replace_fact(days, path, company, "data_emissao")
+        step.message = f"desde {since}" if since else "tudo"
+
+
 def check_mart(spark: SparkSession, lake: Lake, company: str, name: str, since: tuple[str, Day] | None = None) -> None:
     """Contract of a mart (of what was loaded ``since`` a day): broken rules go to the log, rows that break one to quarantine."""
     with logged(spark, lake, f"check:{name}") as step:
@@ -204,11 +234,12 @@ def check_mart(spark: SparkSession, lake: Lake, company: str, name: str, since:
 def tidy(spark: SparkSession, lake: Lake, company: str) -> None:
     """Old states of all tables go, but for the last two: a reader may still be at the one before."""
     facts = [lake.raw(e) for e in (*FACT_DATES, *DIMENSIONS, "registrations")]
-    facts += [lake.mart(n) for n in ("sales", "orders", "sales_rollups")] + [lake.stage("type_map")]
+    facts += [lake.mart(n) for n in ("sales", "orders", "sales_rollups", "campaign_days")] + [lake.stage("type_map")]
     for path in facts:
         tables.drop_old_versions(spark, path, company)
     whole = [lake.raw(e) for e in EXPORTS] + [lake.mart(n) for n in ("products", "customers", "sellers")]
     whole += [lake.quarantine(n) for n in (*EXPORTS, "sales", "orders")] + [lake.stage("unmapped_operations")]
+    whole += [lake.app(n) for n in ("campaigns", "sale_tags", "registered")] + [lake.quarantine("requests")]
     for path in whole + [f"{lake.field}/{n}" for n in FIELD_APP_TABLES]:
         tables.drop_old_versions(spark, path)
 

@@ -58,6 +58,8 @@ _TYPES = {
     "decimal(14,2)": MONEY,
     "decimal(16,2)": T.DecimalType(16, 2),
     "decimal(16,4)": RAW_AMOUNT,
+    "decimal(22,2)": T.DecimalType(22, 2),
+    "decimal(24,2)": T.DecimalType(24, 2),
 }
 
 
@@ -161,6 +163,21 @@ CAMPAIGNS = _struct(
     "parametros string, ativa boolean"
 )
 
+# Campaign of a sales line, as the sales app tells it.
+SALE_TAGS = _struct(
+    "nr_nota string, it_codigo string, cod_cliente string, estabel string, campanha_id bigint, alterado_em timestamp"
+)
+CAMPAIGN_DAYS = _struct(
+    "empresa string, campanha_id bigint, cod_vendedor string, data_emissao date, "
+    "faturamento decimal(24,2), caixas decimal(22,2)"
+)
+# Requests of the field to register a customer, in their order of arrival, and what came of them.
+REQUESTS = _struct(
+    "cod_cliente string, nome string, cnpj string, canal string, cidade string, uf string, "
+    "cod_vendedor string, limite_credito string, ordem bigint, recebido_em timestamp"
+)
+REGISTERED = _struct("empresa string, cod_cliente string, cod_vendedor string, origem string, data_cadastro date")
+
 # Natural keys, the column of most values first (see operators/marts.py). The
 # sales key carries the establishment: two establishments may use the same
 # invoice number.
@@ -175,6 +192,8 @@ KEYS = {
     "goals": ["cod_vendedor", "mes"],
     "visits": ["id"],
     "agenda": ["id"],
+    "campaigns": ["id"],
+    "registered": ["cod_cliente", "empresa"],
     "invoice_lines": ["nr_nota_fis", "nr_seq_fat", "serie", "cod_estabel", "empresa"],
     "order_lines": ["nr_pedcli", "nr_sequencia", "nome_abrev", "empresa"],
 }

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
-from ledgerlight.plans import pipelines
+from ledgerlight.plans import app_feed, boards, pipelines
 from ledgerlight.sinks import manifest, run_log
 from ledgerlight.sinks import rollups as stored_rollups
 from ledgerlight.sinks import tables as sinks
@@ -120,3 +120,47 @@ def test_streamed_counts_follow_corrections(spark, tmp_path):
     land("b", [visit(4, noon(1)), visit(1, noon(9)), visit(2, noon(2), "V2"), visit(5, noon(3)), visit(5, noon(4))])
     assert counts() == {(1, "V1"): 1, (2, "V2"): 1, (4, "V1"): 1, (9, "V1"): 1, (28, "V1"): 1}
     assert sinks.read_table(spark, out).count() == 5
+
+
+def test_board_of_what_the_app_landed(spark, tmp_path, monkeypatch):
+    lake, root = pipelines.Lake(str(tmp_path / "lake")), str(tmp_path / "app")
+
+    def land(name, data, schema):
+        spark.createDataFrame(data, schema).write.mode("overwrite").json(f"{root}/{name}")
+
+    def sold(number, day, value):
+        return ("c1", None, number, None, "k", "7", "p", D(1), D(value), "venda", None, day, dt.datetime(2024, 5, 2))
+
+    def load_sales(data):
+        sinks.replace_fact(spark.createDataFrame(data, schemas.SALES), lake.mart("sales"), "c1", "data_emissao")
+        pipelines.follow_sales(spark, lake, "c1")
+
+    def blocks():
+        marts = app_feed.stored_sales_marts(spark, lake, "c1")
+        return boards.sales_board(marts, d(5, 1), d(5, 20), d(5, 20))
+
+    load_sales([sold("1", d(4, 30), 10), sold("2", d(5, 2), 20)])
+    assert "por_campanha" not in blocks() and not blocks()["cadastros"].collect()
+    noon = dt.datetime(2024, 5, 3, 12)
+    land("campaigns", [(1, "Junho", d(5, 1), d(5, 9), "x", None, True), (2, "Velha", d(1, 1), d(1, 9), "x", None, True)], schemas.CAMPAIGNS)
+    land("sale_tags", [(n, "p", "k", None, c, at) for n, c, at in [("1", 1, noon), ("2", 2, noon), ("2", 1, dt.datetime(2024, 5, 4)), ("9", 1, noon)]], schemas.SALE_TAGS)
+    for _ in range(2):
+        app_feed.load_campaigns(spark, lake, root, "c1")
+        assert rows(blocks()["por_campanha"], "nome", "faturamento") == [("Junho", D(30))]
+    load_sales([sold("1", d(4, 30), 10), sold("2", d(5, 2), 25), sold("3", d(5, 3), 99)])
+    assert rows(blocks()["por_campanha"], "nome", "faturamento", "caixas") == [("Junho", D(35), D(2))]
+
+    ask = lambda n, code, name, tax=None: (code, name, tax, None, None, "sp", None, "x", n, noon)
+    land("requests", [ask(1, " n1", "A"), ask(2, "n1 ", "B"), ask(3, "n2", None), ask(4, "n3", "C", "12"), ask(5, "n4", "D")], schemas.REQUESTS)
+    # A run that dies between its two tables is made good by the next one.
+    whole = sinks.replace_table
+    monkeypatch.setattr(sinks, "replace_table", lambda df, path, *a: None if path == lake.mart("customers") else whole(df, path, *a))
+    app_feed.load_registrations_of_app(spark, lake, root, "c1", "7")
+    monkeypatch.undo()
+    for refused in (3, 5):
+        app_feed.load_registrations_of_app(spark, lake, root, "c1", "7")
+        assert rows(sinks.read_table(spark, lake.mart("customers")), "cod_cliente", "nome", "cod_vendedor") == [("n1", "A", "7"), ("n4", "D", "7")]
+        assert rows(blocks()["cadastros"], "cod_vendedor", "qtd") == [("7", 2)]
+        assert sinks.read_table(spark, lake.quarantine("requests")).count() == refused
+    pipelines.tidy(spark, lake, "c1")
+    assert rows(blocks()["por_campanha"], "nome") == [("Junho",)]
