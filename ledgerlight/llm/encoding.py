@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from itertools import accumulate
 
@@ -9,11 +10,14 @@ import numpy as np
 
 from .token_counts import load
 
-STORE_WORDS = 250_000
+STORE_WORDS = 500_000
 """Words stored before the store grows old; an old store is kept for look-up until the next one is full."""
 GROUP_WORDS = 2_000
 # Letters with one lower-case form and no other composition, then marks that never join a letter.
 _SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# What leaves lower-case letters in one form as they are, and a word of them whole.
+_KEEPS_LETTERS = ["NFC", "Replace", "Lowercase"]
+_LETTERS_WHOLE = re.compile(r"(?:'[a-z]+\|)*\[\\p\{L\}\]\+\|.*")
 
 
 class Encoder:
@@ -33,6 +37,24 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab() if by_word else {}
         self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self.of_letters = self._without_normalizer(path) if by_word else self.tokenizer
+
+    def _without_normalizer(self, path: str):
+        """For words of simple lower-case letters: the same tokenizer without the steps that leave them as they are."""
+        from tokenizers import normalizers, pre_tokenizers
+
+        described = json.loads(self.tokenizer.to_str())
+        steps = [n.get("type") for n in (described["normalizer"] or {}).get("normalizers", [])]
+        split, *rest = (described["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        whole = _LETTERS_WHOLE.fullmatch((split.get("pattern") or {}).get("Regex", ""))
+        byte_level = [r.get("type") == "ByteLevel" and not (r["add_prefix_space"] or r["use_regex"]) for r in rest]
+        if steps != _KEEPS_LETTERS or not whole or not split.get("invert") or byte_level != [True]:
+            return self.tokenizer
+        plain = load(path)
+        plain.normalizer = normalizers.Sequence([])
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
+        return plain
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (unsigned 32-bit) of each text."""
@@ -86,7 +108,7 @@ class Encoder:
             group = words[at : at + GROUP_WORDS]
             joined = " ".join(group)
             if letters_only:
-                ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+                ids = np.array(self.of_letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
                 cut = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
             if not letters_only or len(cut) != len(group) + 1 or cut[-1] != len(ids):
                 encoding = self.tokenizer.encode(joined, add_special_tokens=False)
