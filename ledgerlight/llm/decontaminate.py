@@ -32,6 +32,8 @@ from .words import ALNUM, text_slices
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
 SEGMENT_BYTES = 4 << 20
+MERGE_HITS = 1 << 18
+"""So many hits of a segment, or twice as many as are left of them, are merged to spans before more are searched."""
 
 INDEX_SCHEMA = (
     "segment bigint, doc_ids array<bigint>, text_keys array<bigint>, first_word array<int>, "
@@ -148,7 +150,8 @@ def _search(batch: pa.RecordBatch, row: int, searches: list, slop: int) -> np.nd
             lists[term] = None if k is None else np.cumsum(steps[ends[k] - counts[k] : ends[k]])
         return lists[term]
 
-    hits = []
+    hits: list[np.ndarray] = []
+    held, most = 0, MERGE_HITS
     for item, length, by_rarity in searches:
         starts = doc = None
         for term, offset in by_rarity:
@@ -162,8 +165,8 @@ def _search(batch: pa.RecordBatch, row: int, searches: list, slop: int) -> np.nd
             # The first place near enough in the same document.
             at = np.searchsorted(places, np.maximum(starts + (offset - slop), first_word[doc]))
             near = places[np.minimum(at, len(places) - 1)]
-            held = (at < len(places)) & (near <= starts + (offset + slop)) & (near < first_word[doc + 1])
-            starts, doc = starts[held], doc[held]
+            fits = (at < len(places)) & (near <= starts + (offset + slop)) & (near < first_word[doc + 1])
+            starts, doc = starts[fits], doc[fits]
             if not len(starts):
                 break
         if starts is not None and len(starts):
@@ -171,6 +174,16 @@ def _search(batch: pa.RecordBatch, row: int, searches: list, slop: int) -> np.nd
             base = np.maximum(starts - first_word[doc], 0)
             end = np.minimum(starts + length, first_word[doc + 1]) - first_word[doc]
             hits.append(np.stack([np.full(len(starts), item), doc, base, end], axis=1))
+            held += len(starts)
+            if held > most:  # copies of a passage and frequent words overlap, so that little is left of them
+                hits = [_merged(hits)]
+                held = len(hits[0])
+                most = max(MERGE_HITS, 2 * held)
+    return _merged(hits)
+
+
+def _merged(hits: list[np.ndarray]) -> np.ndarray:
+    """The spans (item, document, first word, word after) of ``hits``, overlapping ones of an item as one."""
     if not hits:
         return np.empty((0, 4), dtype=np.int64)
     all_ = np.concatenate(hits)
