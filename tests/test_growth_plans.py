@@ -2,8 +2,10 @@
 
 import pytest
 
+from ledgerlight.catalog import tables
 from ledgerlight.catalog.registry import tables_of
 from ledgerlight.operators import marts
+from tests.conftest import rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -44,3 +46,27 @@ def test_large_tables_get_partitions_by_their_number_of_lines(spark, monkeypatch
     parts = t.by_number(t.raw("lineitem"), "l_orderkey")
     assert 40 <= parts.rdd.getNumPartitions() <= 42
     assert parts.count() == lines
+
+
+def test_a_large_fact_is_not_shuffled_by_month(spark, monkeypatch):
+    even = tables_of(spark, FOLDER)
+    monkeypatch.setattr(tables, "LINES_PER_PART", 500)
+    large = tables.Tables(spark, FOLDER, "large")
+    hints = []
+    hint = type(even.sales).hint
+    monkeypatch.setattr(type(even.sales), "hint", lambda df, *of: (hints.append(of), hint(df, *of))[1])
+    sales, orders = large.sales, large.orders
+    assert large.large and not hints
+    assert rows(sales) == rows(even.sales) and rows(orders) == rows(even.orders)
+
+
+def test_facts_meet_large_dimensions_with_their_sums_in_final_width(spark, broadcast_up_to):
+    t = tables_of(spark, FOLDER)
+    t.type_map, t.customers, t.products  # written with the usual size
+    broadcast_up_to("-1")
+    for df in (t.build_sales(), t.build_orders()):
+        node = df._jdf.queryExecution().optimizedPlan()
+        while "Join" not in node.nodeName():
+            node = node.children().head()
+        facts = node.children().head().schema().toDDL()
+        assert "(2" not in facts and "decimal(14,2)" in facts.lower(), facts
