@@ -1,10 +1,14 @@
 """The shuffles of the marts must not grow faster than their input."""
 
+import re
+
 import pytest
 
 from ledgerlight.catalog import tables
 from ledgerlight.catalog.registry import tables_of
-from ledgerlight.operators import marts
+from ledgerlight.operators import marts, rollups
+from ledgerlight.sinks import manifest
+from ledgerlight.sinks.rollups import monthly_sales, store_rollups
 from tests.conftest import rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,6 +52,29 @@ def test_large_tables_get_partitions_by_their_number_of_lines(spark, monkeypatch
     assert parts.count() == lines
 
 
+def test_rollups_shuffle_the_sales_once(spark, broadcast_up_to):
+    t = tables_of(spark, FOLDER)
+    sales = t.sales.drop("empresa")
+    numbers = rollups.number_days(sales)
+    ids = spark.createDataFrame(rollups.new_ids(numbers, None, 1).toPandas())
+    broadcast_up_to("-1")
+    for df in (rollups.seller_days(sales), rollups.customer_days(sales)):
+        assert re.findall(r"Exchange (\w+)", plan(df)) == ["rangepartitioning"]
+    # The numbers and their ids meet, and then the bitmaps.
+    assert re.findall(r"Exchange (\w+)", plan(rollups.number_bitmaps(numbers, ids))) == ["rangepartitioning"] + ["hashpartitioning"] * 2
+
+
+def test_rollups_are_written_without_another_shuffle(spark, folder, monkeypatch):
+    t = tables_of(spark, FOLDER)
+    hints = []
+    kind = type(t.sales)
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda df, *of: (hints.append(of), hint(df, *of))[1])
+    months = {manifest.part_name("mes_particao", r[0]): "1" for r in t.sales.select("mes_particao").distinct().collect()}
+    store_rollups(spark, monthly_sales(t.sales.drop("empresa")), months, folder)
+    assert not hints and manifest.current(spark, folder).parts("days").keys() == months.keys()
+
+
 def test_a_large_fact_is_not_shuffled_by_month(spark, monkeypatch):
     even = tables_of(spark, FOLDER)
     monkeypatch.setattr(tables, "LINES_PER_PART", 500)
