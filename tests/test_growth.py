@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 from dataclasses import replace
 from decimal import Decimal
 
@@ -10,8 +11,10 @@ from pyspark.sql import types as T
 
 from ledgerlight import schemas
 from ledgerlight.operators import rollups
+from ledgerlight.plans.pipelines import Lake, logged
 from ledgerlight.sinks import manifest, tables
 from ledgerlight.sinks import rollups as stored
+from ledgerlight.sinks.shuffles import CLEANUP
 
 
 def test_bitmaps_of_few_numbers_are_small(spark):
@@ -57,3 +60,23 @@ def test_rollups_of_an_earlier_layout_are_computed_again(spark, folder):
     numbers = stored.read_rollups(spark, f"{folder}/rollups", "c1").numbers
     assert rollups.distinct_numbers(numbers, "nr_nota", "n").first().n == 30
     assert rollups.distinct_numbers(numbers, "nr_pedido", "n").first().n == 7
+
+
+def shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(held.size()) if (name := held.apply(k).getName()).startswith("shuffle_")}
+
+
+def test_a_step_leaves_no_shuffle_files(spark, folder):
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP)
+    grouped = spark.range(1000).selectExpr("id % 10 as k", "id").groupBy("k").sum("id")
+    with logged(spark, Lake(folder), "step"):
+        tables.replace_table(grouped, f"{folder}/t")
+        assert tables.read_table(spark, f"{folder}/t").count() == 10
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)  # files go in the background
+    assert not left and spark.conf.get(CLEANUP) == setting
+    with pytest.raises(ValueError), logged(spark, Lake(folder), "step"):
+        raise ValueError
+    assert spark.conf.get(CLEANUP) == setting
