@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 
@@ -14,7 +14,8 @@ STORE_WORDS = 500_000
 """Words stored before the store grows old; an old store is kept for look-up until the next one is full."""
 GROUP_WORDS = 2_000
 # Letters with one lower-case form and no other composition, then marks that never join a letter.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)")
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 # What leaves lower-case letters in one form as they are, and a word of them whole.
 _KEEPS_LETTERS = ["NFC", "Replace", "Lowercase"]
 _LETTERS_WHOLE = re.compile(r"(?:'[a-z]+\|)*\[\\p\{L\}\]\+\|.*")
@@ -34,27 +35,24 @@ class Encoder:
         self.by_word = by_word
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.of_letters = self._bytes_of_letters() if by_word else None
         vocabulary = self.tokenizer.get_vocab() if by_word else {}
-        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
-        self.ends_word[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
-        self.of_letters = self._without_normalizer(path) if by_word else self.tokenizer
-
-    def _without_normalizer(self, path: str):
-        """For words of simple lower-case letters: the same tokenizer without the steps that leave them as they are."""
-        from tokenizers import normalizers, pre_tokenizers
+        self.four_bytes = [n.to_bytes(4, "little") for n in range(max(vocabulary.values(), default=0) + 1)]
 
+    def _bytes_of_letters(self) -> dict[int, str] | None:
+        """For words of simple lower-case letters that all steps before the model leave whole: how the model sees a letter."""
         described = json.loads(self.tokenizer.to_str())
         steps = [n.get("type") for n in (described["normalizer"] or {}).get("normalizers", [])]
         split, *rest = (described["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         whole = _LETTERS_WHOLE.fullmatch((split.get("pattern") or {}).get("Regex", ""))
         byte_level = [r.get("type") == "ByteLevel" and not (r["add_prefix_space"] or r["use_regex"]) for r in rest]
-        if steps != _KEEPS_LETTERS or not whole or not split.get("invert") or byte_level != [True]:
-            return self.tokenizer
-        plain = load(path)
-        plain.normalizer = normalizers.Sequence([])
+        special = any(_SIMPLE.fullmatch(a["content"]) for a in described["added_tokens"])
+        if steps != _KEEPS_LETTERS or not whole or not split.get("invert") or byte_level != [True] or special:
+            return None
+        from tokenizers import pre_tokenizers
+
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
-        return plain
+        return {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in _LETTERS}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (unsigned 32-bit) of each text."""
@@ -66,21 +64,22 @@ class Encoder:
             self.older, self.known = known, {}
             known = self.known
         pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        flat = [p for words in pieces for p in words]
-        found = list(map(known.get, flat))
-        missing = [k for k, ids in enumerate(found) if ids is None]
+        flat = list(chain.from_iterable(pieces))
+        # Each different piece is looked up once among all that are stored, and its repeats among those of these texts.
+        here = dict.fromkeys(flat)
+        here.update(zip(here, map(known.get, list(here)), strict=True))
+        missing = [piece for piece, ids in here.items() if ids is None]
         if missing:
-            self._learn({flat[k] for k in missing})
-            for k in missing:
-                found[k] = known[flat[k]]
+            self._learn(missing)
+            here.update(zip(missing, map(known.__getitem__, missing), strict=True))
+        found = list(map(here.__getitem__, flat))
         ends = list(accumulate(map(len, pieces)))
         return [np.frombuffer(b"".join(found[end - len(words) : end]), dtype="<u4") for words, end in zip(pieces, ends, strict=True)]
 
-    def _learn(self, words: set[str]) -> None:
-        """Store the ids of ``words``; ``The``, ``the`` and ``the,`` are encoded as ``the`` and ``,`` once."""
-        known, older, simple, letters, others = self.known, self.older, [], set(), set()
-        for word in words:
-            ids = older.get(word)
+    def _learn(self, words: list[str]) -> None:
+        """Store the ids of ``words``, which are not known; ``The``, ``the`` and ``the,`` are encoded as ``the`` and ``,`` once."""
+        known, older, joined, letters, others = self.known, self.older, [], set(), set()
+        for word, ids in zip(words, map(older.get, words), strict=True):
             if ids is not None:
                 known[word] = ids
                 continue
@@ -88,35 +87,38 @@ class Encoder:
             if match is None:
                 others.add(word)
                 continue
-            core, marks = match[1].lower(), match[2]
-            simple.append((word, core, marks))
+            core, marks = match.groups()
+            core = core.lower()
+            if core == word:
+                letters.add(word)
+                continue
+            joined.append((word, core, marks))
             for part, to in ((core, letters), (marks, others)):
-                if part not in known:
+                if part not in known and part not in to:
                     ids = older.get(part)
                     if ids is None:
                         to.add(part)
                     else:
                         known[part] = ids
-        self._store(list(letters), letters_only=True)
+        if self.of_letters is None:
+            others |= letters
+        else:
+            tokenize, seen, four = self.tokenizer.model.tokenize, self.of_letters, self.four_bytes
+            for word in letters:
+                known[word] = b"".join([four[token.id] for token in tokenize(word.translate(seen))])
         self._store(list(others))
-        for word, core, marks in simple:
+        for word, core, marks in joined:
             known[word] = known[core] + known[marks]
 
-    def _store(self, words: list[str], letters_only: bool = False) -> None:
-        """One call for many words. A word of letters ends with its only token that ends a word; else offsets tell."""
+    def _store(self, words: list[str]) -> None:
+        """One call for many words; offsets tell whose an id is."""
         for at in range(0, len(words), GROUP_WORDS):
             group = words[at : at + GROUP_WORDS]
-            joined = " ".join(group)
-            if letters_only:
-                ids = np.array(self.of_letters.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-                cut = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
-            if not letters_only or len(cut) != len(group) + 1 or cut[-1] != len(ids):
-                encoding = self.tokenizer.encode(joined, add_special_tokens=False)
-                ids = np.array(encoding.ids, dtype="<u4")
-                begin = np.array([0, *accumulate(len(w) + 1 for w in group)])
-                owner = np.searchsorted(begin, np.array([o[0] for o in encoding.offsets], dtype=np.int64), side="right") - 1
-                cut = np.searchsorted(owner, np.arange(len(group) + 1))
-            raw, cut = ids.tobytes(), (4 * cut).tolist()
+            encoding = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
+            ids = np.array(encoding.ids, dtype="<u4")
+            begin = np.array([0, *accumulate(len(w) + 1 for w in group)])
+            owner = np.searchsorted(begin, np.array([o[0] for o in encoding.offsets], dtype=np.int64), side="right") - 1
+            raw, cut = ids.tobytes(), (4 * np.searchsorted(owner, np.arange(len(group) + 1))).tolist()
             self.known.update(zip(group, (raw[a:b] for a, b in zip(cut, cut[1:], strict=False)), strict=True))
 
 
