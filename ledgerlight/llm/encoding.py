@@ -35,7 +35,8 @@ class Encoder:
         self.by_word = by_word
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.of_letters = self._bytes_of_letters() if by_word else None
+        # The tokenizer itself where no letters can skip its steps.
+        self.of_letters = (self._bytes_of_letters() or self.tokenizer) if by_word else None
         vocabulary = self.tokenizer.get_vocab() if by_word else {}
         self.four_bytes = [n.to_bytes(4, "little") for n in range(max(vocabulary.values(), default=0) + 1)]
 
@@ -100,7 +101,7 @@ class Encoder:
                         to.add(part)
                     else:
                         known[part] = ids
-        if self.of_letters is None:
+        if self.of_letters is self.tokenizer:
             others |= letters
         else:
             tokenize, seen, four = self.tokenizer.model.tokenize, self.of_letters, self.four_bytes
